@@ -1,9 +1,13 @@
-"""Registered queries of the catalogue operators, each with its SQL oracle."""
+"""Registered queries of the catalogue operators, each with its SQL oracle where SQL can express it."""
 
+from __future__ import annotations
 
-def queries():
-    return {}
+from catloom.plans import registry, table_queries, text_queries  # noqa: F401  (registration happens on import)
 
 
-def oracle_sql():
-    return {}
+def queries() -> dict:
+    return dict(registry.QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(registry.ORACLES)
