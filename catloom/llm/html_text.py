@@ -4,7 +4,7 @@ The standard library's event parser cuts a page into *lines*: block-level text u
 text length, its tag and link counts and its container. Material that is never main text (scripts, styles, menus,
 headers, footers, sidebars, forms, notices, adverts, reader comments: by element or by the words of class, id and
 role) is left out as events arrive. If the page marks an article (or main) element that carries text, that
-element is the content region. Otherwise the text-to-tag ratio of the lines is smoothed with a Gaussian kernel and
+element is the content region. Otherwise the (logarithmic) text-to-tag ratio of the lines is smoothed with a Gaussian kernel and
 split in two clusters at a threshold (mean of the two cluster means, iterated); the content region is every line
 from the first to the last of the high cluster, plus headings directly before. Lines inside the region are never
 dropped for being short.
@@ -178,7 +178,8 @@ def main_text(html: str | None) -> str:
             marked[line[4]] = marked.get(line[4], 0) + len(line[0])
     if marked:
         return "\n".join(line[0] for line in lines if line[4])
-    ratios = np.array([(len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines])
+    # on a logarithmic scale long and short paragraphs stay together, apart from lines of links
+    ratios = np.log1p([max(0, len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines])
     level = smooth(ratios)
     high = np.flatnonzero(level >= two_clusters(level))
     first, last = int(high[0]), int(high[-1])
