@@ -53,6 +53,11 @@ def matching_title(value: Text) -> Column:
     return squeeze(F.regexp_replace(untagged.otherwise(text), FEATURED, ""))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _or(value: Column, other: Column) -> Column:
     return F.when(value == "", other).otherwise(value)
 
@@ -73,10 +78,13 @@ def base_title(value: Text) -> Column:
 
 def detector_base_title(value: Text) -> Column:
     """As :func:`base_title` on matching titles; hints count as parts of words."""
-    title = matching_title(value)
-    head = strip(_dash_head(title, lambda tail: F.lower(tail).rlike("|".join(HINTS))))
     closing = rf"(?i)\(([^)]*({VERSION_WORDS}|remaster|radio|mono|stereo)[^)]*)\)$"
-    return _or(strip(F.regexp_replace(head, closing, "")), title)
+
+    def of(title: Column) -> Column:
+        head = strip(_dash_head(title, lambda tail: F.lower(tail).rlike("|".join(HINTS))))
+        return _or(strip(F.regexp_replace(head, closing, "")), title)
+
+    return let(matching_title(value), of)
 
 
 def norm_matching(value: Text) -> Column:
