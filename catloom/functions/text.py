@@ -167,11 +167,16 @@ def title_forms(value: Text) -> Column:
     return F.array_sort(F.array_distinct(F.filter(both, lambda x: x != "")))
 
 
-def artist_credits(value: Text) -> Column:
-    """The full credit, then its parts; of parts with equal normal form the first stays."""
+def artist_parts(value: Text) -> Column:
+    """The full credit, then its parts."""
     raw = strip(value)
     parts = F.split(raw, r"(?i)\s*(?:,|/|&| and | with | feat\.?|ft\.?|featuring)\s*")
-    listed = F.filter(F.transform(F.concat(F.array(raw), parts), strip), lambda x: x != "")
+    return F.filter(F.transform(F.concat(F.array(raw), parts), strip), lambda x: x != "")
+
+
+def artist_credits(value: Text) -> Column:
+    """The full credit, then its parts; of parts with equal normal form the first stays."""
+    listed = artist_parts(value)
     keyed = F.filter(F.transform(listed, lambda x: F.struct(norm_audit(x).alias("k"), x.alias("v"))), lambda x: x["k"] != "")
     empty = F.array().cast("array<struct<k:string,v:string>>")
     first = F.aggregate(keyed, empty, lambda acc, x: F.when(F.exists(acc, lambda y: y["k"] == x["k"]), acc).otherwise(F.array_append(acc, x)))
