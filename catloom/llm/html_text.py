@@ -6,7 +6,7 @@ headers, footers, sidebars, forms, notices, adverts, reader comments: by element
 role) is left out as events arrive. If the page marks an article (or main) element that carries text, that
 element is the content region. Otherwise the (logarithmic) text-to-tag ratio of the lines is smoothed with a Gaussian kernel and
 split in two clusters at a threshold (mean of the two cluster means, iterated); the content region is every line
-from the first to the last of the high cluster, plus headings directly before. Lines inside the region are never
+from the first to the last whose smoothed or own ratio is in the high cluster, plus headings directly before. Lines inside the region are never
 dropped for being short.
 
 Defined results: null and empty pages, and pages without text, give the empty text; unclosed and stray tags are
@@ -181,7 +181,8 @@ def main_text(html: str | None) -> str:
     # on a logarithmic scale long and short paragraphs stay together, apart from lines of links
     ratios = np.log1p([max(0, len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines])
     level = smooth(ratios)
-    high = np.flatnonzero(level >= two_clusters(level))
+    threshold = two_clusters(level)
+    high = np.flatnonzero((level >= threshold) | (ratios >= threshold))
     first, last = int(high[0]), int(high[-1])
     while first and lines[first - 1][3]:
         first -= 1
