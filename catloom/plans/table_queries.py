@@ -49,7 +49,10 @@ def dedupe_merge(spark, sf_dir):
     return merged.select("_ord", "_copies", "spotify_url", "youtube_url", "chart_position", "duration_seconds", "label", "genre")
 
 
-@query()
+@query(f"""WITH {DISC}, s AS (SELECT * REPLACE ('' AS album_name, '' AS track_position, substr(release_date, 1, 4) AS release_date) FROM disc),
+g AS (SELECT min(_ord) AS _ord, count(*) AS n, arg_min(alternative_names, _ord) AS one, list_filter(flatten(list(string_split(alternative_names, ', ') ORDER BY _ord)), lambda x: x <> '') AS parts, list(notes ORDER BY _ord) AS notes FROM s GROUP BY {_KEY})
+SELECT _ord, CASE WHEN n = 1 THEN one ELSE coalesce(array_to_string(list_filter(parts, lambda x, i: list_position(parts, x) = i), ', '), '') END AS alternative_names,
+ list_reduce(notes, lambda a, x: CASE WHEN a = x OR x = '' THEN a WHEN a = '' THEN x ELSE a || ' | ' || x END) AS notes FROM g""")
 def dedupe_folds(spark, sf_dir):
     """Order-dependent merges: comma lists and notes."""
     return dedupe.merge_duplicates(_small(disc(spark, sf_dir))).select("_ord", "alternative_names", "notes")
@@ -102,10 +105,15 @@ def canonicalise(spark, sf_dir):
     return lineage.canonicalise(_small(disc(spark, sf_dir)))[0]
 
 
+def _hex(start, digits):
+    """A number from digits of the order key."""
+    return F.conv(F.substring("_ord", start, digits), 16, 10).cast("long")
+
+
 def log_entries(spark, sf_dir):
     """Prior log entries from events: some of full, some of legacy signature only."""
     events = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    rows = disc(spark, sf_dir).withColumn("k", F.pmod(F.crc32(F.col("_ord").cast("binary")), F.lit(997)))
+    rows = disc(spark, sf_dir).withColumn("k", _hex(1, 6) % 997)
     known = rows.join(events, "k").withColumn("row_type", F.when(F.col("k") % 2 == 0, "").otherwise(F.col("row_type")))
     size = (F.col("k") % 4).cast("int")
     event = F.struct(F.lit("2024-01-01").alias("date"), F.lit("r").alias("round"), F.lit("m").alias("method"), F.lit("x").alias("result"), F.lit(None).cast("double").alias("score"),
@@ -116,11 +124,21 @@ def log_entries(spark, sf_dir):
     )
 
 
-@query()
+_FULL = "lower(concat_ws('|', artist, album_name, song_name, track_position, release_date, {}, release_category, edition_type))"
+_SHORT = "lower(concat_ws('|', artist, album_name, song_name, track_position, release_date))"
+
+
+@query(f"""WITH {DISC}, k AS (SELECT *, ('0x' || substr(_ord, 1, 6))::BIGINT % 997 AS k FROM disc), e AS (SELECT k.*, n FROM k JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY 1) u ON k = user_id),
+t AS (SELECT _ord, {_FULL.format("CASE WHEN k % 2 = 0 THEN '' ELSE row_type END")} AS f, {_SHORT} AS l, CASE WHEN k % 3 = 0 THEN 'needs_research' ELSE 'not_found' END AS ss, n, CASE WHEN k % 5 = 0 THEN 'high' END AS cl, k % 4 AS h FROM e),
+i AS (SELECT s, arg_min({{'ss': ss, 'n': n, 'cl': cl, 'h': h}}, row(-h, _ord)) AS p FROM (SELECT f AS s, * FROM t UNION ALL SELECT l AS s, * FROM t) GROUP BY s),
+j AS (SELECT disc.*, coalesce(a.p, b.p) AS p FROM disc LEFT JOIN i a ON a.s = {_FULL.format('row_type')} LEFT JOIN i b ON b.s = {_SHORT})
+SELECT substr(sha256({_FULL.format('row_type')}), 1, 16) AS row_hash, ('0x' || substr(_ord, 1, 14))::BIGINT AS row_number, CASE WHEN spotify_url <> '' THEN 'found' ELSE coalesce(p.ss, 'not_searched') END AS spotify_status,
+ CASE WHEN youtube_url <> '' THEN 'found' ELSE 'not_searched' END AS youtube_status, coalesce(p.n, 0) AS search_attempts,
+ coalesce(p.cl, CASE WHEN spotify_url <> '' THEN 'low' WHEN p.ss = 'needs_research' THEN 'medium' ELSE 'none' END) AS confidence_level, coalesce(p.h, 0) AS n_history, p IS NOT NULL AS matched FROM j""")
 def reconcile_log(spark, sf_dir):
     """New log entries with what earlier ones carry over."""
-    out = reconcile.reconcile(disc(spark, sf_dir), log_entries(spark, sf_dir), F.crc32(F.col("_ord").cast("binary")))
-    return out.select("row_hash", "row_number", "spotify_status", "youtube_status", "search_attempts", "confidence_level", F.size("search_history").alias("n_history"), "matched")
+    out = reconcile.reconcile(disc(spark, sf_dir).withColumn("number", _hex(1, 14)), log_entries(spark, sf_dir), F.col("number"))
+    return out.select("row_hash", "row_number", "spotify_status", "youtube_status", "search_attempts", "confidence_level", F.size("search_history").cast("long").alias("n_history"), "matched")
 
 
 @query(f"""WITH {DISC} SELECT CASE WHEN spotify_url <> '' THEN 'found' ELSE 'not_searched' END AS spotify_status, CASE WHEN youtube_url <> '' THEN 'found' ELSE 'not_searched' END AS youtube_status,
@@ -329,23 +347,37 @@ def severity(spark, sf_dir):
 
 
 def _scores(spark, sf_dir):
-    rows = disc(spark, sf_dir).filter("spotify_url <> ''").withColumn("row_number", F.conv(F.substring("_ord", 1, 14), 16, 10).cast("long"))
-    k = F.crc32(F.col("_ord").cast("binary"))
-    return rows.withColumn("title_score", (k % 100) / 100.0).withColumn("artist_score", ((k / 100).cast("long") % 100) / 100.0).withColumn("type_mismatch", F.col("row_type") == "album")
+    rows = disc(spark, sf_dir).filter("spotify_url <> ''").withColumn("row_number", _hex(1, 14))
+    k = _hex(15, 6)
+    scored = rows.withColumn("title_score", (k % 100) / 100.0).withColumn("artist_score", (F.floor(k / 100) % 100) / 100.0)
+    return scored.withColumn("type_mismatch", F.col("row_type") == "album").dropDuplicates(["row_number"])
 
 
-@query()
+_SCORED = f"""{DISC}, s AS (SELECT DISTINCT ON (row_number) *, ('0x' || substr(_ord, 1, 14))::BIGINT AS row_number, (('0x' || substr(_ord, 15, 6))::BIGINT % 100) / 100.0 AS t,
+ ((('0x' || substr(_ord, 15, 6))::BIGINT // 100) % 100) / 100.0 AS a, row_type = 'album' AS m FROM disc WHERE spotify_url <> '')"""
+_ERAS = "CASE era " + " ".join(f"WHEN '{e}' THEN {w}" for e, w in schema.ERA_WEIGHTS.items()) + " ELSE 1 END"
+
+
+@query(f"""WITH {_SCORED}, q AS (SELECT row_number, t, a, CAST({_ERAS} + CASE row_type WHEN 'album' THEN 4 WHEN 'single' THEN 3 ELSE 2 END AS DOUBLE) AS impact_score,
+ round(CAST((1 - t) * 3 + (1 - a) * 2 + CASE WHEN a < 0.4 THEN 1.5 ELSE 0 END AS DOUBLE), 4) AS mismatch_score FROM s WHERE NOT (m OR t < 0.35 OR a < 0.25) AND (t < 0.55 OR a < 0.4)),
+p AS (SELECT *, round(impact_score * 0.65 + mismatch_score * 0.35, 4) AS priority_score FROM q)
+SELECT row_number, priority_score, impact_score, mismatch_score, CASE WHEN a < 0.4 THEN 'verify_artist_match_first' WHEN t < 0.55 AND a >= 0.85 THEN 'check_alt_title_or_version' ELSE 'manual_track_search' END AS review_action,
+ CAST(row_number() OVER (ORDER BY priority_score DESC, p.row_number) AS INT) AS priority_rank FROM p""")
 def mismatch_queue(spark, sf_dir):
     """Review queue of medium findings with ranks."""
-    found = audit.findings(_scores(spark, sf_dir)).dropDuplicates(["row_number"])
+    found = audit.findings(_scores(spark, sf_dir))
     queue = audit.medium_queue(found, found)
     return queue.select("row_number", "priority_score", "impact_score", "mismatch_score", "review_action", "priority_rank")
 
 
-@query()
+_BAD = "(m OR t < 0.35 OR a < 0.25 OR (t < 0.5 AND a < 0.35))"
+
+
+@query(f"""WITH {_SCORED} SELECT row_number, CASE WHEN {_BAD} THEN '' ELSE spotify_url END AS spotify_url, CASE WHEN {_BAD} THEN 'needs_research' ELSE 'found' END AS spotify_status,
+ CASE WHEN {_BAD} THEN 'low' ELSE 'high' END AS confidence_level, CASE WHEN {_BAD} THEN 1 ELSE 0 END AS n_history FROM s""")
 def link_quarantine(spark, sf_dir):
     """Recommended links cleared, log entries downgraded."""
-    rows = _scores(spark, sf_dir).dropDuplicates(["row_number"])
+    rows = _scores(spark, sf_dir)
     entries = rows.select("row_number", F.lit("found").alias("spotify_status"), F.lit("high").alias("confidence_level"), F.lit("").alias("last_search_date"), F.array().cast("array<" + reconcile.EVENT.simpleString() + ">").alias("search_history"))
     cleared, log = audit.quarantined(rows, audit.findings(rows), entries, F.lit("2024-02-01"))
     both = cleared.select("row_number", "spotify_url").join(log, "row_number")
@@ -488,3 +520,13 @@ def grouped_counts(spark, sf_dir):
     """Counts by several keys in one pass."""
     docs = table(spark, sf_dir, "documents")
     return docs.groupingSets([["source"], ["lang"]], "source", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def fuzzy_exists(spark, sf_dir):
+    """First lines that an altered line of some other documents resembles."""
+    from catloom.operators.blocking import similar_pairs
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.substring(F.split_part(F.lower("text"), F.lit("\n"), F.lit(1)), 1, 50).alias("t"))
+    altered = docs.filter("doc_id % 3 = 0").select(F.concat(F.substring("t", 3, 50), F.lit("xy")).alias("known")).distinct()
+    return similar_pairs(docs.select("t").distinct(), altered, "t", "known", 0.85).select("t").distinct()
