@@ -180,7 +180,8 @@ def album_kind(value: Text) -> Column:
 
 
 def release_group_kind(value: Text) -> Column:
-    return mapped(F.lower(_c(value)), {"album": "album", "single": "single", "ep": "album", "compilation": "album"}, "album")
+    """Row type of a release group's primary type, as it is spelled there."""
+    return mapped(_c(value), {"Single": "single"}, "album")
 
 
 def percent(part: Column, whole: Column, empty: float = 0.0) -> Column:

@@ -166,3 +166,62 @@ def first_page_match(artists: DataFrame, hits: DataFrame) -> DataFrame:
     best = hits.groupBy("artist").agg(F.min_by(F.struct("id", "name"), "pos").alias("h"))
     same = text.norm_discovery("artist") == text.norm_discovery("h.name")
     return artists.join(best, "artist").select("artist", "h.id", "h.name", F.when(same, "high").otherwise("medium").alias("confidence"))
+
+
+def _cached_candidates(rows: DataFrame, cache: DataFrame, namespace: str, order_col: str) -> DataFrame:
+    """Items of all cached answers to a row's queries: ``order, query_pos, pos, item``."""
+    asked = lookup_keys(rows, namespace, order_col).join(cache.select("key", "payload"), "key")
+    parsed = asked.select(order_col, "query_pos", F.from_json("payload", PAYLOAD).alias("p"))
+    items = F.concat(F.coalesce("p.tracks.items", F.array().cast(T.ArrayType(ITEM))), F.coalesce("p.albums.items", F.array().cast(T.ArrayType(ITEM))))
+    return parsed.select(order_col, "query_pos", F.posexplode(items).alias("pos", "item")).filter("item is not null")
+
+
+def first_hits(rows: DataFrame, cache: DataFrame, namespace: str = "search", order_col: str = "_ord", done: DataFrame | None = None) -> DataFrame:
+    """First cached link of every row without one that no earlier run has finished: ``order, url``."""
+    open_rows = rows.filter(strip("spotify_url") == "")
+    if done is not None:
+        open_rows = remaining(open_rows, done, order_col)
+    found = _cached_candidates(open_rows, cache, namespace, order_col)
+    return first_hit(found.select(order_col, "query_pos", "pos", F.coalesce("item.external_urls.spotify", F.lit("")).alias("url")), order_col)
+
+
+def repopulate(rows: DataFrame, cache: DataFrame, entries: DataFrame, today: Column, namespace: str = "search", order_col: str = "row_number") -> tuple[DataFrame, DataFrame]:
+    """Links certain enough fill empty cells; their log entries are raised and get an event."""
+    from catloom.operators.reconcile import EVENT, appended
+
+    open_rows = rows.filter(strip("spotify_url") == "")
+    scored = score_candidates(open_rows, _cached_candidates(open_rows, cache, namespace, order_col), order_col)
+    good = accepted(best_candidate(scored, order_col)).select(F.col(order_col).alias("__row"), F.col("url").alias("__url"), F.col("score").alias("__score"), F.col("confidence_level").alias("__level"))
+    filled = rows.join(good, F.col(order_col) == F.col("__row"), "left")
+    filled = filled.withColumn("spotify_url", F.coalesce("__url", "spotify_url")).select(*rows.columns)
+    log = entries.join(good, F.col(order_col) == F.col("__row"), "left")
+    hit = F.col("__row").isNotNull()
+    event = F.struct(
+        today.alias("date"), F.lit("Strict Repopulation").alias("round"), F.lit("strict_high_confidence_search").alias("method"), F.lit("found").alias("result"),
+        F.round("__score", 4).alias("score"), F.lit(None).cast("string").alias("previous_url"), F.lit(None).cast("array<string>").alias("reason_codes"),
+    ).cast(EVENT)
+    log = (
+        log.withColumn("spotify_status", F.when(hit, "found").otherwise(F.col("spotify_status")))
+        .withColumn("confidence_level", F.coalesce("__level", "confidence_level"))
+        .withColumn("last_search_date", F.when(hit, today).otherwise(F.col("last_search_date")))
+        .withColumn("search_attempts", F.coalesce("search_attempts", F.lit(0)) + F.when(hit, 1).otherwise(0))
+        .withColumn("search_history", F.when(hit, appended(F.col("search_history"), event)).otherwise(F.col("search_history")))
+    )
+    return filled, log.select(*entries.columns)
+
+
+def video_links(rows: DataFrame, items: DataFrame, quota: int, order_col: str = "_ord") -> DataFrame:
+    """Best video of the first ``quota`` rows of the gap queue, if it is good enough.
+
+    ``items``: ``order, query_pos, pos, kind, video, playlist, title, channel``.
+    """
+    from catloom.operators.audit import gap_queue
+
+    queue = gap_queue(rows, quota, order_col).select(order_col, "artist", "row_type", F.when(F.col("row_type") == "album", F.col("album_name")).otherwise(F.col("song_name")).alias("expected"))
+    joined = queue.join(items, order_col).withColumn("url", text.video_url(F.coalesce("kind", F.lit("")), F.col("video"), F.col("playlist"))).filter("url <> ''")
+    alike = lambda a, b: sequence_ratio(norm_strict(a), norm_strict(b))
+    scored = joined.withColumn("title_sim", alike("expected", "title")).withColumn("channel_sim", alike("artist", "channel"))
+    inside = F.contains(norm_strict("title"), norm_strict("artist"))
+    scored = scored.withColumn("score", values.video_score(F.col("title_sim"), inside, F.col("channel_sim"), F.coalesce("channel", F.lit("")), F.coalesce("title", F.lit(""))))
+    best = best_candidate(scored, order_col)
+    return best.filter(F.col("score") >= F.when(F.col("row_type") == "album", 0.50).otherwise(0.55)).select(order_col, "url", "score")

@@ -309,4 +309,50 @@ def test_setlist_coverage(spark):
 
     df = spark.createDataFrame([(["a", "b", "c"], ["b", "d"])], "a array<string>, b array<string>")
     r = df.select(coverage(F.col("a"), F.col("b")).alias("c")).first()["c"]
-    assert (r["matched"], r["rate"], r["only_left"], r["only_right"]) == (1, 33.33, ["a", "c"], ["d"])
+    assert (r["matched"], r["rate"], r["only_left"], r["only_right"]) == (1, 0.5, ["a", "c"], ["d"])
+
+
+def test_discovery_payloads(spark):
+    from catloom.operators import discover
+
+    frame = lambda payload: spark.createDataFrame([("A", json.dumps(payload))], "artist string, payload string")
+    page = {"releases": [{"id": 1, "title": "T", "year": 1975, "type": "master", "label": "L", "resource_url": "u"}, {"id": 2, "title": "U", "year": 0, "label": [{"name": "M"}]}, {"title": "V", "label": ["N"]}]}
+    assert [(r["album_name"], r["release_date"], r["label"]) for r in discover.release_rows(frame(page)).collect()] == [("T", "1975", "L"), ("U", "", "M"), ("V", "", "N")]
+    groups = {"release-groups": [{"id": "g", "title": " G ", "primary-type": "Single", "first-release-date": "1975"}, {"id": "h", "title": " "}]}
+    row = discover.group_rows(frame(groups)).collect()
+    assert len(row) == 1 and (row[0]["album_name"], row[0]["row_type"], json.loads(row[0]["raw_extra"])["mbid"]) == ("G", "single", "g")
+    recordings = {"recordings": [{"id": "r", "title": "R", "length": 2500, "isrcs": ["i"]}]}
+    assert json.loads(discover.recording_rows(frame(recordings)).first()["raw_extra"])["duration_seconds"] == "2"
+    albums = {"items": [{"id": "1", "name": "X", "album_type": "compilation", "external_urls": {"spotify": "u"}}, {"id": "2", "name": "x!"}]}
+    found = discover.album_rows(frame(albums).withColumn("name", F.lit("The A")).withColumn("confidence", F.lit("high"))).collect()
+    assert [(r["artist"], r["album_name"], r["row_type"], r["source_confidence"]) for r in found] == [("The A", "X", "compilation", "high")]
+
+
+def test_worklists(spark):
+    from catloom.operators import discover
+
+    rows = fact(spark, [BASE | {"version_type": "live_recording"}, BASE | {"album_name": "Alive"}, BASE | {"artist": " B "}]).withColumn("row_number", F.col("_ord") + 2)
+    assert discover.live_recordings(rows).count() == 2
+    assert {r["artist"] for r in discover.catalog_artists(None, rows).collect()} == {"a", "b"}
+    assert {r["release_id"] for r in discover.unique_releases(None, rows.withColumn("row_type", F.lit("album"))).collect()} == {"A|L|1975", "A|Alive|1975", " B |L|1975"}
+    entries = spark.createDataFrame([(2, "needs_research"), (3, "found")], "row_number long, spotify_status string")
+    assert [r["row_number"] for r in discover.needs_research(rows, entries).collect()] == [2]
+    assert discover.forced(spark.createDataFrame([("x",)], "artist string"), "artist", "Z").first()["artist"] == "Z"
+    songs = spark.createDataFrame([("A", "S!"), ("A", "T")], "artist string, song string")
+    assert discover.coverage_report(songs, rows.filter("artist = 'A'")).first()["matched"] == 1
+
+
+def test_composed_enrichment(spark):
+    rows = entry_rows(spark, [BASE, BASE | {"song_name": "Zz", "youtube_url": "y"}])
+    item = {"name": "S", "external_urls": {"spotify": "u1"}, "artists": [{"name": "A"}], "album": {"name": "L"}}
+    keys = enrich.lookup_keys(rows, "track", "row_number").filter("row_number = 2 and query_pos = 1").select("key")
+    cache = keys.withColumn("payload", F.lit(json.dumps({"tracks": {"items": [item]}})))
+    assert [(r["row_number"], r["url"]) for r in enrich.first_hits(rows, cache, "track", "row_number").collect()] == [(2, "u1")]
+    log = rows.select("row_number", F.lit("x").alias("spotify_status"), F.lit("low").alias("confidence_level"), F.lit("").alias("last_search_date"), F.lit(1).cast("long").alias("search_attempts"), F.lit(None).cast("array<" + reconcile.EVENT.simpleString() + ">").alias("search_history"))
+    filled, entries = enrich.repopulate(rows, cache, log, F.lit("2024-01-01"), "track")
+    assert {r["row_number"]: r["spotify_url"] for r in filled.collect()} == {2: "u1", 3: ""}
+    entry = entries.filter("row_number = 2").first()
+    assert (entry["spotify_status"], entry["confidence_level"], entry["search_attempts"], entry["search_history"][0]["result"]) == ("found", "high", 2, "found")
+    videos = spark.createDataFrame([(2, 0, 0, "k#video", "v", None, "S", "A - Topic"), (2, 0, 1, "k#video", "w", None, "else", "else")], "row_number long, query_pos int, pos int, kind string, video string, playlist string, title string, channel string")
+    best = enrich.video_links(rows, videos, 5, "row_number").collect()
+    assert [(r["row_number"], r["url"]) for r in best] == [(2, "https://www.youtube.com/watch?v=v")]
