@@ -71,9 +71,12 @@ def _dash_head(title: Column, versioned) -> Column:
 
 def base_title(value: Text) -> Column:
     """The work's title: version suffixes after a dash or in closing parentheses go, unless nothing would be left."""
-    title = clean_title(value)
-    head = _dash_head(title, lambda tail: tail.rlike(rf"(?i)\b({VERSION_WORDS})\b"))
-    return _or(strip(F.regexp_replace(head, rf"(?i)\(([^)]*({VERSION_WORDS})[^)]*)\)$", "")), title)
+
+    def of(title: Column) -> Column:
+        head = _dash_head(title, lambda tail: tail.rlike(rf"(?i)\b({VERSION_WORDS})\b"))
+        return _or(strip(F.regexp_replace(head, rf"(?i)\(([^)]*({VERSION_WORDS})[^)]*)\)$", "")), title)
+
+    return let(clean_title(value), of)
 
 
 def detector_base_title(value: Text) -> Column:
