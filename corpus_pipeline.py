@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catloom.llm import exact_dedup, langid, mixing, packing, simhash
+from catloom.llm import exact_dedup, langid, mixing, near_copies as near, packing
 from catloom.runtime import shared_path, table
 
 #: The large general source is held to a tenth; every other source counts alike.
@@ -26,8 +26,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by fingerprints of five-word shingles the one with the smallest id stays."""
-    return simhash.keep_one_per_group(docs, shingle=5)
+    """Of documents linked by a Jaccard similarity of 0.8 or more of their five-word shingles the one with the smallest id stays."""
+    return near.drop_near_copies(docs, shingle=5)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,3 +85,15 @@ def pfair(q, blocks):
         done[s] += 1
         t += 1
     return slots
+
+
+def shingle_set(text, shingle=5):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)} or {" ".join(words)}
+
+
+def later_near_copies(rows):
+    """Ids that are not the smallest of their component at Jaccard 0.8; rows: (id, text), ids distinct."""
+    sets = {i: shingle_set(t) for i, t in rows}
+    label = components(sets, lambda a, b: 5 * len(a & b) >= 4 * len(a | b))
+    return {i for i, low in label.items() if i != low}
