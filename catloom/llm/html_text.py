@@ -5,9 +5,10 @@ text length, its tag and link counts and its container. Material that is never m
 headers, footers, sidebars, forms, notices, adverts, reader comments: by element or by the words of class, id and
 role) is left out as events arrive. If the page marks an article (or main) element that carries text, that
 element is the content region. Otherwise the (logarithmic) text-to-tag ratio of the lines is smoothed with a Gaussian kernel and
-split in two clusters at a threshold (mean of the two cluster means, iterated); the content region is every line
-from the first to the last whose smoothed or own ratio is in the high cluster, plus headings directly before. Lines inside the region are never
-dropped for being short.
+split in two clusters at a threshold (mean of the two cluster means, iterated). The split counts only if the cluster means are
+at least ``APART`` apart; otherwise all lines but those made of links are high. The region is every line from the first
+to the last whose smoothed or own ratio is high, plus headings directly before and the adjoining lines with few links.
+Lines inside the region are never dropped for being short.
 
 Defined results: null and empty pages, and pages without text, give the empty text; unclosed and stray tags are
 tolerated (an end tag closes everything opened inside it, one without a start is ignored); equal rows get equal
@@ -43,6 +44,8 @@ NOISE = frozenset(
 )
 CONTENT = frozenset("content main article post entry story page container wrapper layout site".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog".split())
+#: Least distance of the cluster means, in natural logarithms of the ratio, for a split to count.
+APART = 1.5
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -162,6 +165,28 @@ def two_clusters(values: np.ndarray) -> float:
     return threshold
 
 
+def content_region(lines: list[tuple[str, int, int, bool, int]]) -> tuple[int, int]:
+    """The first and the last line of the content region."""
+    # on a logarithmic scale long and short paragraphs stay together, apart from lines of links
+    sizes = np.array([max(0, len(text) - linked) for text, _, linked, _, _ in lines])
+    ratios = np.log1p(sizes / np.array([max(1, line[1]) for line in lines]))
+    few_links = np.array([2 * linked < len(text) for text, _, linked, _, _ in lines])
+    level = smooth(ratios)
+    threshold = two_clusters(level)
+    upper, lower = level[level >= threshold], level[level < threshold]
+    if len(lower) and upper.mean() - lower.mean() >= APART:
+        high = (level >= threshold) | (ratios >= threshold)
+    else:
+        high = few_links if few_links.any() else np.ones(len(lines), bool)
+    inside = np.flatnonzero(high)
+    first, last = int(inside[0]), int(inside[-1])
+    while first and (lines[first - 1][3] or few_links[first - 1]):
+        first -= 1
+    while last + 1 < len(lines) and few_links[last + 1]:
+        last += 1
+    return first, last
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the main text in page order, one per line."""
     if not html:
@@ -172,20 +197,9 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    marked: dict[int, int] = {}
-    for line in lines:
-        if line[4]:
-            marked[line[4]] = marked.get(line[4], 0) + len(line[0])
-    if marked:
+    if any(line[4] for line in lines):
         return "\n".join(line[0] for line in lines if line[4])
-    # on a logarithmic scale long and short paragraphs stay together, apart from lines of links
-    ratios = np.log1p([max(0, len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines])
-    level = smooth(ratios)
-    threshold = two_clusters(level)
-    high = np.flatnonzero((level >= threshold) | (ratios >= threshold))
-    first, last = int(high[0]), int(high[-1])
-    while first and lines[first - 1][3]:
-        first -= 1
+    first, last = content_region(lines)
     return "\n".join(line[0] for line in lines[first : last + 1])
 
 

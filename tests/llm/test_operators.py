@@ -277,6 +277,18 @@ def test_main_text():
     assert "Short." in lines and "x y" not in lines and "z" not in lines and len(lines) == 7
 
 
+def paragraphs(*sizes):
+    return [f"{k} {'wörd ' * 200}"[:n].strip().ljust(n, "x") for k, n in enumerate(sizes)]
+
+
+@pytest.mark.parametrize("sizes", [(120, 90, 110, 500, 480, 520), (300, 300, 20), (30, *[300] * 6, 25), (500, 480, 20, 15, 10), (8,), (40, 40)])
+@pytest.mark.parametrize("around", ["", "<ul><li><a href=a>one</a><li><a href=b>two</a><li><a href=c>three</a></ul>"])
+def test_short_paragraphs_at_the_ends_stay(sizes, around):
+    texts = paragraphs(*sizes)
+    page = f"<body>{around}<div>{''.join(f'<p>{t}</p>' for t in texts)}</div>{around}</body>"
+    assert html_text.main_text(page).split("\n") == texts
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>"), (None, None, None), (1, "u", "<p>a</p>")], "page_id long, url string, html string").withColumn("text", F.lit("x"))
     assert Counter(map(tuple, html_text.extract(df).collect())) == Counter({(1, "u", "a"): 2, (None, None, ""): 1})
