@@ -3,12 +3,14 @@
 The standard library's event parser cuts a page into *lines*: block-level text units in page order, each with its
 text length, its tag and link counts and its container. Material that is never main text (scripts, styles, menus,
 headers, footers, sidebars, forms, notices, adverts, reader comments: by element or by the words of class, id and
-role) is left out as events arrive. If the page marks an article (or main) element that carries text, that
-element is the content region. Otherwise the (logarithmic) text-to-tag ratio of the lines is smoothed with a Gaussian kernel and
-split in two clusters at a threshold (mean of the two cluster means, iterated). The split counts only if the cluster means are
-at least ``APART`` apart; otherwise all lines but those made of links are high. The region is every line from the first
-to the last whose smoothed or own ratio is high, plus headings directly before and the adjoining lines with few links.
-Lines inside the region are never dropped for being short.
+role) is left out as events arrive. The (logarithmic) text-to-tag
+ratio of the lines of every page is smoothed with a Gaussian kernel and split in two clusters at a threshold (mean of
+the two cluster means, iterated). The split counts only if the cluster means are at least ``APART`` apart; otherwise
+all lines but those made of links are high. Then the page's article and main elements are weighed: if they hold at
+least half of the text of the high lines, those with a high line belong to the content region whole, else they count
+like any other element. The region is every line from the first to the last that is high (smoothed or own ratio) or in such an
+element, plus headings directly before, plus the adjoining lines with few links (where elements were accepted, only
+lines inside article or main elements). Lines inside the region are never dropped for being short.
 
 Defined results: null and empty pages, and pages without text, give the empty text; unclosed and stray tags are
 tolerated (an end tag closes everything opened inside it, one without a start is ignored); equal rows get equal
@@ -171,6 +173,7 @@ def content_region(lines: list[tuple[str, int, int, bool, int]]) -> tuple[int, i
     sizes = np.array([max(0, len(text) - linked) for text, _, linked, _, _ in lines])
     ratios = np.log1p(sizes / np.array([max(1, line[1]) for line in lines]))
     few_links = np.array([2 * linked < len(text) for text, _, linked, _, _ in lines])
+    region = np.array([line[4] for line in lines])
     level = smooth(ratios)
     threshold = two_clusters(level)
     upper, lower = level[level >= threshold], level[level < threshold]
@@ -178,11 +181,14 @@ def content_region(lines: list[tuple[str, int, int, bool, int]]) -> tuple[int, i
         high = (level >= threshold) | (ratios >= threshold)
     else:
         high = few_links if few_links.any() else np.ones(len(lines), bool)
-    inside = np.flatnonzero(high)
+    marked = region > 0
+    trusted = marked.any() and 2 * sizes[high & marked].sum() >= sizes[high].sum()
+    inside = np.flatnonzero(high | (np.isin(region, region[high & marked]) & marked) if trusted else high)
     first, last = int(inside[0]), int(inside[-1])
-    while first and (lines[first - 1][3] or few_links[first - 1]):
+    adjoins = few_links & marked if trusted else few_links
+    while first and (lines[first - 1][3] or adjoins[first - 1]):
         first -= 1
-    while last + 1 < len(lines) and few_links[last + 1]:
+    while last + 1 < len(lines) and adjoins[last + 1]:
         last += 1
     return first, last
 
@@ -197,8 +203,6 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    if any(line[4] for line in lines):
-        return "\n".join(line[0] for line in lines if line[4])
     first, last = content_region(lines)
     return "\n".join(line[0] for line in lines[first : last + 1])
 

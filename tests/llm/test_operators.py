@@ -289,6 +289,21 @@ def test_short_paragraphs_at_the_ends_stay(sizes, around):
     assert html_text.main_text(page).split("\n") == texts
 
 
+def test_marked_elements_are_weighed():
+    links, body = "<p><a href=a>one</a> <a href=b>two</a></p>", paragraphs(400, 300, 500, 20)
+    plain = "".join(f"<p>{t}</p>" for t in body)
+    # a card beside an unmarked body does not replace it
+    page = f"<body>{links}<div>{plain}</div>{links}<article><a href=c>Read this too</a></article></body>"
+    assert html_text.main_text(page).split("\n") == body
+    page = f"<body><article>A teaser of some words.</article>{links * 3}<div>{plain}</div></body>"
+    assert set(body) <= set(html_text.main_text(page).split("\n"))
+    # an element that holds the text is kept whole and bounds it; long text outside is kept as well
+    page = f"<body><p>Imprint</p><article><p>Hi.</p>{plain}{links}<p>By me.</p></article><p>Imprint</p></body>"
+    assert html_text.main_text(page).split("\n") == ["Hi.", *body, "one two", "By me."]
+    more = paragraphs(450)[0]
+    assert more in html_text.main_text(f"<body><article>{plain}</article><p>{more}</p></body>").split("\n")
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>"), (None, None, None), (1, "u", "<p>a</p>")], "page_id long, url string, html string").withColumn("text", F.lit("x"))
     assert Counter(map(tuple, html_text.extract(df).collect())) == Counter({(1, "u", "a"): 2, (None, None, ""): 1})
