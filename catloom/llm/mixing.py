@@ -1,12 +1,13 @@
 """Pfair mixing of sources to target weights; DataFrame functions only.
 
-Each source's documents, in a hashed order, are cut into blocks of ``BLOCK_DOCS``. The target weights are scaled to
-integer shares ``q`` of a period of ``Q`` slots (largest remainders, at least one slot each). Block ``i`` (from 0) of
-a source of weight ``w = q / Q`` is released at slot ``floor(i / w)`` and due at slot ``ceil((i + 1) / w)``; every slot goes
+Each source's documents, in a hashed order, are cut into blocks of ``BLOCK_DOCS``. The target weights are read as
+fractions (the simple one a float stands for) and brought to their common denominator: integer shares ``q`` of a period
+of ``Q`` slots, so that ``q / Q`` is the weight itself. Block ``i`` (from 0) of a source of weight ``w`` is released at slot ``floor(i / w)`` and due at slot ``ceil((i + 1) / w)``; every slot goes
 to the released block with the earliest deadline. After any number of slots each source then has less than one
 block more or less than its share. Windows repeat with period ``Q``, so one period is scheduled - a fold of ``Q``
 steps whose size depends on the weights, not on the data - and block ``i`` takes slot
-``(i // q) * Q + pattern[i % q]``. When a source has run out its slots stay empty; the others go on in proportion.
+``(i // q) * Q + pattern[i % q]``. A period longer than ``FOLDED`` slots is scheduled on the driver with heaps, and only as
+far as the blocks go; beyond ``LONGEST`` slots :func:`mix` stops with an error instead of rounding weights. When a source has run out its slots stay empty; the others go on in proportion.
 
 Numbering blocks needs ranks within sources that may hold a third of all rows. Ranks are found in two levels:
 within cells of about ``CELL_DOCS`` rows (source and leading hash digits), and between cells by a running sum over
@@ -20,43 +21,73 @@ an empty table gives an empty result; texts are not read, and other columns may
 
 from __future__ import annotations
 
+from fractions import Fraction
+from heapq import heappop, heappush
+from math import gcd, lcm
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from catloom.runtime import cut
 
-PERIOD = 512
+FOLDED = 4096
+LONGEST = 1 << 24
 BLOCK_DOCS = 16
 CELL_DOCS = 4096
 
 
-def shares(counts: DataFrame, weights: dict[str | None, float] | None, period: int = PERIOD) -> DataFrame:
-    """``(source, q)`` for the sources in ``counts``; the q sum to the period."""
-    if weights and min(weights.values()) <= 0:
-        raise ValueError("weights must be positive")
-    weight: Column = F.lit(1.0)
-    if weights:
-        for name, value in weights.items():
-            weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(value))).otherwise(weight if name != next(iter(weights)) else F.lit(sum(weights.values()) / len(weights)))
-    # the number of sources bounds this table; it is one row as arrays from here on
-    listed = counts.select("source", weight.alias("w")).agg(F.array_sort(F.collect_list(F.struct("source", "w"))).alias("s"))
-    total = F.aggregate("s", F.lit(0.0), lambda a, x: a + x["w"])
-    spare = F.lit(period) - F.size("s")
-    exact = F.transform("s", lambda x: F.struct(x["source"].alias("source"), (x["w"] / F.col("total") * F.col("spare")).alias("e")))
-    listed = listed.withColumn("total", total).withColumn("spare", spare).withColumn("e", exact)
-    left = F.col("spare") - F.aggregate("e", F.lit(0), lambda a, x: a + F.floor(x["e"]).cast("int"))
-    ranked = F.array_sort(F.transform("e", lambda x, i: F.struct((F.floor(x["e"]) - x["e"]).alias("r"), i.alias("i"))))
-    listed = listed.withColumn("left", left).withColumn("ranked", ranked)
-    extra = F.transform(F.slice("ranked", F.lit(1), F.col("left")), lambda x: x["i"])
-    listed = listed.withColumn("extra", extra)
-    q = F.transform(
-        "e", lambda x, i: F.struct(x["source"].alias("source"), (F.floor(x["e"]) + 1 + F.array_contains("extra", i).cast("int")).cast("int").alias("q"))
-    )
-    return listed.select(q.alias("shares"))
+def fraction(weight: float) -> Fraction:
+    """The fraction of small denominator that equals a float but for its rounding."""
+    exact = Fraction(weight)
+    for digits in range(1, 16):
+        near = exact.limit_denominator(10**digits)
+        if abs(near - exact) * (1 << 51) <= exact:
+            return near
+    return exact
 
 
-def pattern(shared: DataFrame, period: int = PERIOD) -> DataFrame:
+def integer_shares(sources: list[str | None], weights: dict[str | None, float] | None, period: int = 1) -> list[tuple[str | None, int]]:
+    """``(source, q)`` in the exact ratio of the weights, null first; the q sum to the least common period or a multiple of ``period`` slots or more."""
+    if weights and min(weights.values()) <= 0:
+        raise ValueError("weights must be positive")
+    given = {name: fraction(value) for name, value in (weights or {}).items()}
+    mean = sum(given.values()) / len(given) if given else Fraction(1)
+    listed = [(name, given.get(name, mean)) for name in sorted(sources, key=lambda x: (x is not None, x or ""))]
+    if not listed:
+        return []
+    scale = lcm(*(w.denominator for _, w in listed))
+    whole = [int(w * scale) for _, w in listed]
+    total = sum(whole) // gcd(*whole)
+    times = -(-period // total)
+    return [(name, q // gcd(*whole) * times) for (name, _), q in zip(listed, whole)]
+
+
+def shares(counts: DataFrame, weights: dict[str | None, float] | None, period: int = 1) -> DataFrame:
+    """One row, ``shares``: the :func:`integer_shares` of the sources in ``counts``, whose number bounds it."""
+    found = integer_shares([r["source"] for r in counts.select("source").distinct().collect()], weights, period)
+    return counts.sparkSession.createDataFrame([(found,)], "shares array<struct<source:string,q:bigint>>")
+
+
+def long_pattern(shared: list[tuple[str | None, int]], slots: int) -> list[tuple[str | None, int, int, int, int, int]]:
+    """``(source, q, j, slot, release, deadline)`` for the first slots of a period: :func:`pattern` in steps of the logarithm of the sources."""
+    period = sum(q for _, q in shared)
+    waiting = [(0, k, 0) for k in range(len(shared))]  # release, source, block
+    ready: list[tuple[int, int, int]] = []  # deadline, source, block
+    out = []
+    for t in range(slots):
+        while waiting and waiting[0][0] <= t:
+            _, k, j = heappop(waiting)
+            heappush(ready, (-(-(j + 1) * period // shared[k][1]), k, j))
+        due, k, j = heappop(ready)
+        name, q = shared[k]
+        out.append((name, min(q, 1 << 62), j, t, j * period // q, due))
+        if j + 1 < q:
+            heappush(waiting, ((j + 1) * period // q, k, j + 1))
+    return out
+
+
+def pattern(shared: DataFrame, period: int) -> DataFrame:
     """``(source, q, j, slot)``: the slots of one period by earliest deadline first. ``shared`` has one row."""
     n = F.size("shares")
 
@@ -101,29 +132,39 @@ def mix(
     id_col: str = "doc_id",
     source_col: str = "source",
     block_docs: int = BLOCK_DOCS,
-    period: int = PERIOD,
+    period: int = 1,
     cell_docs: int = CELL_DOCS,
 ) -> DataFrame:
-    """Every row's place: ``doc_id, source, block, release, deadline, slot, place``; slot, then place, is the order."""
+    """Every row's place: ``doc_id, source, block, release, deadline, slot, place``; slot, then place, is the order.
+
+    ``period`` is the least number of slots that are scheduled at once.
+    """
     ranked = cut(order_in_source(docs, id_col, source_col, cell_docs))
     counts = cut(ranked.groupBy("source").agg(F.count(F.lit(1)).alias("n")))
-    sources = counts.count()
-    while period < 4 * sources:
-        period *= 2
-    table = cut(pattern(shares(counts, weights, period), period))
-    table = table.select(F.col("source").alias("of"), "q", "j", F.col("slot").alias("in_period"))
-    side = F.broadcast(table) if period <= 1 << 20 else table  # one row per slot of the period
-    shared = side.select("of", "q").distinct()
+    sizes = {r["source"]: r["n"] for r in counts.collect()}  # one row per source
+    shared = integer_shares(list(sizes), weights, period)
+    period = sum(q for _, q in shared)
+    if period <= FOLDED:
+        table = pattern(shares(counts, weights, period), period)
+        at = [F.floor(F.col("j") * period / F.col("q")).alias("release"), F.ceil((F.col("j") + 1) * period / F.col("q")).alias("deadline")]
+        table, slots = cut(table.select("*", *at)), period
+    else:
+        slots = min(period, max(-(-(-(-sizes[s] // block_docs)) * period // q) for s, q in shared))
+        if slots > LONGEST:
+            raise ValueError(f"the weights have no common period under {LONGEST} slots; give rounder ones")
+        table = cut(ranked.sparkSession.createDataFrame(long_pattern(shared, slots), "source string, q bigint, j bigint, slot bigint, release bigint, deadline bigint"))
+    table = table.select(F.col("source").alias("of"), "q", "j", F.col("slot").alias("in_period"), "release", "deadline")
+    side = F.broadcast(table) if slots <= 1 << 20 else table  # one row per scheduled slot
+    shared = F.broadcast(table.select("of", "q").distinct())  # one row per source
     blocks = ranked.withColumn("block", F.floor(F.col("rank") / block_docs))
-    with_q = blocks.join(F.broadcast(shared) if period <= 1 << 20 else shared, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    with_q = blocks.join(shared, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     with_q = with_q.withColumn("jj", F.col("block") % F.col("q"))
     placed = with_q.join(side.drop("q"), F.col("source").eqNullSafe(F.col("of")) & (F.col("jj") == F.col("j")))
-    length = F.lit(period)
+    before = F.expr("block div q") * F.lit(min(period, 1 << 62))
     return placed.select(
         "doc_id", "source", F.col("block").cast("long").alias("block"),
-        F.floor(F.col("block") * length / F.col("q")).cast("long").alias("release"),
-        F.ceil((F.col("block") + 1) * length / F.col("q")).cast("long").alias("deadline"),
-        (F.floor(F.col("block") / F.col("q")) * length + F.col("in_period")).cast("long").alias("slot"),
+        *[(before + F.col(c)).cast("long").alias(c) for c in ("release", "deadline")],
+        (before + F.col("in_period")).cast("long").alias("slot"),
         (F.col("rank") % block_docs).cast("int").alias("place"),
     )
 

@@ -376,3 +376,31 @@ def test_pattern_is_pfair(spark):
     for s, slots in found.items():
         for t in range(17):
             assert abs(sum(x < t for x in slots) - q[s] * t / 16) < 1
+
+
+@pytest.mark.parametrize(
+    "weights",
+    [{"src0": 0.1, **{f"src{k}": 0.9 / 19 for k in range(1, 20)}}, {"a": 0.123457, "b": 0.3, "c": 0.576543}, {"a": 1 / 7, None: 0.3141592653589793, "b": 2.0}],
+)
+def test_deviation_from_the_target_weights(spark, weights):
+    # as many rows as the weights ask for, so that no source runs out before the slots counted here
+    total, slots = sum(weights.values()), 1200
+    rows = [(None, name) for name, w in weights.items() for _ in range(int(slots * w / total) + 2)]
+    df = spark.createDataFrame([(i, name) for i, (_, name) in enumerate(rows)], "doc_id long, source string")
+    out = mixing.mix(df, weights, block_docs=1).collect()
+    assert len(out) == len(rows)
+    at = {r["slot"]: r["source"] for r in out}
+    assert len(at) == len(rows) and all(r["release"] <= r["slot"] < r["deadline"] for r in out)
+    done = dict.fromkeys(weights, 0)
+    for t in range(slots):
+        done[at[t]] += 1
+        assert all(abs(done[name] - (t + 1) * w / total) < 1 for name, w in weights.items())
+
+
+def test_long_periods_are_scheduled_alike():
+    q = {"a": 1, "b": 3, "c": 5, "d": 7}
+    found = defaultdict(list)
+    for s, _, _, slot, release, due in mixing.long_pattern(list(q.items()), 16):
+        found[s].append(slot)
+        assert release <= slot < due
+    assert found == brute.pfair(q, 16)
