@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from catloom import schema
 from catloom.functions import text, values
-from catloom.operators import audit, catalog, consolidate, dedupe, duplicates, enrich, extract, graph, lineage, quality, reconcile
+from catloom.functions import text as text_functions
+from catloom.operators import audit, blocking, catalog, consolidate, dedupe, duplicates, enrich, extract, graph, lineage, quality, reconcile
 from catloom.operators.components import connected_components
 from catloom.plans.disc import DISC, disc
 from catloom.plans.registry import query
@@ -218,10 +219,15 @@ def quality_status(spark, sf_dir):
     return quality.gates(rows, tables).select("status", "issues", "warnings", "rows", "excess")
 
 
+def sentence(text="text"):
+    """The title of a document: its first sentence, whole."""
+    return text_functions.strip(F.regexp_extract(F.coalesce(F.col(text), F.lit("")), r"^\s*([^.!?\n]*)", 1))
+
+
 def candidate_rows(spark, sf_dir):
     """Candidates of mixed quality from documents."""
     docs, k = table(spark, sf_dir, "documents"), F.col("doc_id") % 7
-    line = F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 80)
+    line = sentence()
     return docs.select(
         "doc_id", F.when(k == 0, "").otherwise(F.col("source")).alias("artist"), F.when(k == 1, "").otherwise(F.col("lang")).alias("album_name"), F.when(k == 1, "").otherwise(line).alias("song_name"),
         F.when(k == 2, "1975-3").otherwise("1975-03").alias("release_date"), F.when(k == 3, F.repeat(F.lit("x"), 501)).otherwise("").alias("label"), F.when(k == 4, "session").otherwise("album").alias("row_type"),
@@ -238,9 +244,11 @@ def candidate_validate(spark, sf_dir):
 
 @query()
 def merge_router(spark, sf_dir):
-    """Candidates against a fact table that holds near copies of some."""
+    """Candidates against a fact table of all benchmark items and altered copies of the labelled documents' titles."""
     rows = candidate_rows(spark, sf_dir)
-    fact = rows.filter("doc_id % 10 = 3").select("artist", F.concat("song_name", F.lit(" x")).alias("song_name"), "album_name")
+    bench = table(spark, sf_dir, "benchmark").select(F.lit("").alias("artist"), sentence().alias("song_name"), F.lit("").alias("album_name"))
+    labelled = rows.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    fact = bench.unionByName(labelled.select("artist", F.concat("song_name", F.lit(" x")).alias("song_name"), "album_name"))
     return consolidate.routed(rows, fact).groupBy("route", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -250,7 +258,7 @@ def feed_rows(spark, sf_dir):
     names = ["musicbrainz", "discogs", "spotify", "forums", "other"]
     source = F.element_at(F.array(*map(F.lit, names)), (F.col("doc_id") % 5 + 1).cast("int"))
     return docs.select(
-        F.col("doc_id").alias("_ord"), F.lit("").alias("artist"), F.lit("").alias("album_name"), F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60).alias("song_name"),
+        F.col("doc_id").alias("_ord"), F.lit("").alias("artist"), F.lit("").alias("album_name"), sentence().alias("song_name"),
         F.when(F.col("doc_id") % 3 == 0, "1975").otherwise("1976-01").alias("release_date"), F.when(F.col("doc_id") % 2 == 0, "L").otherwise("").alias("label"), F.lit("track").alias("row_type"),
         source.alias("discovery_source"), F.lit("").alias("source_url"), F.lit("low").alias("source_confidence"), F.lit("").alias("raw_extra"),
     )
@@ -432,9 +440,8 @@ def jaccard_pairs(spark, sf_dir):
 
 
 def title_rows(spark, sf_dir):
-    """Titles from the first lines of documents, with altered copies of some."""
-    line = F.substring(F.split_part("text", F.lit("\n"), F.lit(1)), 1, 60)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", line.alias("t")).filter("t <> ''")
+    """Titles from the first sentences of documents, with altered copies of some."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", sentence().alias("t")).filter("t <> ''")
     copies = docs.filter("doc_id % 5 = 0").select(F.col("doc_id") + 10_000_000, "source", F.concat("t", F.lit("x (Live)")))
     lists = docs.filter("doc_id % 7 = 0").select(F.col("doc_id") + 20_000_000, F.lit("other"), F.concat("t", F.lit(" / Second Long Piece")))
     every = docs.unionByName(copies.toDF("doc_id", "source", "t")).unionByName(lists.toDF("doc_id", "source", "t"))
@@ -452,7 +459,7 @@ def duplicate_counts(spark, sf_dir):
 def duplicate_clusters(spark, sf_dir):
     """Clusters of certain pairs with their originals."""
     items = duplicates.entries(title_rows(spark, sf_dir))
-    found = duplicates.clusters(items, cut(duplicates.pairs(items)), limit=2000)
+    found = duplicates.clusters(items, cut(duplicates.pairs(items)))
     return found.select("cluster_id", "cluster_confidence", "pair_count", "subtype_tags", F.col("original.n").alias("original"), "members")
 
 
@@ -524,9 +531,8 @@ def grouped_counts(spark, sf_dir):
 
 @query()
 def fuzzy_exists(spark, sf_dir):
-    """First lines that an altered line of some other documents resembles."""
-    from catloom.operators.blocking import similar_pairs
-
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.substring(F.split_part(F.lower("text"), F.lit("\n"), F.lit(1)), 1, 50).alias("t"))
-    altered = docs.filter("doc_id % 3 = 0").select(F.concat(F.substring("t", 3, 50), F.lit("xy")).alias("known")).distinct()
-    return similar_pairs(docs.select("t").distinct(), altered, "t", "known", 0.85).select("t").distinct()
+    """First sentences of documents that a benchmark item's sentence, whole or without its first word, resembles."""
+    docs = table(spark, sf_dir, "documents").select(F.lower(sentence()).alias("t"))
+    items = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), r"[.!?\n]")).alias("s")).select(text_functions.strip("s").alias("s"))
+    known = items.unionByName(items.select(F.regexp_replace("s", r"^\S+\s+", "").alias("s"))).select(F.col("s").alias("known")).distinct()
+    return blocking.similar_pairs(docs.distinct(), known, "t", "known", 0.85).select("t").distinct()

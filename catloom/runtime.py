@@ -37,6 +37,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` in the session's full number of shuffle partitions: for stages that compute much over few bytes, which
+    adaptive execution would put in a few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def shared_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder."""
     return f"{checkpoint_root(spark)}/{purpose}-{uuid.uuid4().hex}"

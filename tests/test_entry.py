@@ -11,10 +11,10 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def cell(v):
-    if v is None or v != v:
-        return "null"
     if hasattr(v, "__len__") and not isinstance(v, str):
         return str([cell(x) for x in v])
+    if v is None or v != v:
+        return "null"
     return str(bool(v)) if type(v).__name__ in ("bool", "bool_") else str(v) if isinstance(v, str) else repr(round(float(v), 9))
 
 
