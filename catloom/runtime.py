@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -63,5 +64,17 @@ def remove(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def without_ids(docs: DataFrame, id_col: str, gone: DataFrame, broadcast_rows: int = 2_000_000) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``gone`` (one column of longs); null ids stay, columns may have any names.
+
+    A short list is broadcast, so that the rows stay where they are; a longer one makes them move.
+    """
+    gone = gone.toDF("gone")
+    gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone.hint("shuffle_hash")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    key = F.col(f"c{docs.columns.index(id_col)}").cast("long")
+    return plain.join(gone, key == F.col("gone"), "left_anti").toDF(*docs.columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
