@@ -11,7 +11,7 @@ decreasing size, and a new sequence is opened only if no open one has room: of t
 that keeps the number of sequences lowest (measured in the tests against the volume bound). Ties take the
 smallest gap.
 
-Scale: items are dealt to shards of about ``SHARD_ITEMS`` by a hash of id and piece, so no shard depends on a
+Scale: unless an order is to be kept (:func:`pack_in_order`), items are dealt to shards of about ``SHARD_ITEMS`` by a hash of id and piece, so no shard depends on a
 source, a key or a single long document; every shard is packed on its own and wastes at most its last few
 sequences. Sequences never cross shards.
 
@@ -23,24 +23,26 @@ are not read.
 from __future__ import annotations
 
 import array
-import base64
+import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catloom.runtime import cut
 
 CAPACITY = 1024
 END_ID = 2
 SHARD_ITEMS = 8192
+SHARD_DOCS = 4096
 TOKENIZER = "byte_bpe_50k.json"
-RANKS = "byte_bpe_50k.tiktoken"
 CACHE_ENTRIES = 600_000
 
 # The byte-level pre-tokeniser's pattern restricted to Latin-1, on Latin-1 bytes. Letters, numbers
@@ -50,42 +52,57 @@ _PIECES = re.compile(rf" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_N}]+| ?[^{_S}{_L}{_
 
 
 class Encoder(dict):
-    """Text to little-endian ids; word pieces of Latin-1 texts are cached, other texts take the whole-text path.
+    """Text to little-endian ids of a ``tokenizers`` file at its default setting: the strings of its added tokens give their
+    ids. Word pieces of Latin-1 texts are cached, other texts are encoded whole.
 
     One per Python worker, kept between tasks; the cache is emptied when it holds ``CACHE_ENTRIES``.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
-        import tiktoken
-
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.whole = tiktoken.Encoding("byte_bpe_50k", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.one = self.whole._core_bpe.encode_single_piece
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as handle:
+            file = json.load(handle)
+        added = file["added_tokens"]
+        # the cached path knows this pre-tokeniser and plain added tokens; anything else is left to the library
+        plain = file["normalizer"] is None and file["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        plain &= not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
+        self.added = {t["content"]: array.array("I", [t["id"]]).tobytes() for t in added}
+        split = "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True))
+        self.split = re.compile(f"({split})").split if self.added else lambda text: [text]
+        self.cached = plain
 
     def __missing__(self, piece: bytes) -> bytes:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        ids = self[piece] = array.array("I", self.one(piece.decode("latin-1").encode())).tobytes()
+        ids = self[piece] = self._whole(piece.decode("latin-1"))
         return ids
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def ids(self, text: str) -> bytes:
+        if not self.cached:
+            return self._whole(text)
         try:
             raw = text.encode("latin-1")
         except UnicodeEncodeError:
-            return np.array(self.whole.encode_ordinary(text), dtype="<u4").tobytes()
-        return b"".join(map(self.__getitem__, _PIECES.findall(raw)))
+            return self._whole(text)
+        if not any(c in text for c in self.added):
+            return b"".join(map(self.__getitem__, _PIECES.findall(raw)))
+        return b"".join(self.added[part] if part in self.added else self.ids(part) for part in self.split(text) if part)
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(ranks_name: str = RANKS) -> Encoder:
-    if ranks_name not in _encoders:
+def encoder(tokenizer: str = TOKENIZER) -> Encoder:
+    if tokenizer not in _encoders:
         import public_tokenizers
 
-        _encoders[ranks_name] = Encoder(public_tokenizers.path(ranks_name), public_tokenizers.PATTERN)
-    return _encoders[ranks_name]
+        _encoders[tokenizer] = Encoder(public_tokenizers.path(tokenizer))
+    return _encoders[tokenizer]
 
 
 def piece_bounds(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -100,38 +117,40 @@ def tokenize(
     text_col: str = "text",
     capacity: int = CAPACITY,
     end_id: int = END_ID,
-    ranks_name: str = RANKS,
+    tokenizer: str = TOKENIZER,
     with_ids: bool = True,
+    shard: Column | None = None,
 ) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``token_ids``, a row per piece."""
+    """``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``shard`` and ``token_ids``, a row per piece."""
     end = np.array([end_id], dtype="<u4").tobytes()
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", token_ids array<int>" * with_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, shard long" + ", token_ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_name).ids
+        encode = encoder(tokenizer).ids
         for batch in batches:
-            rows: list[list] = [[] for _ in range(5 + with_ids)]
+            rows: list[list] = [[] for _ in range(6 + with_ids)]
             size = 0
-            for doc, text in zip(batch.column(0), batch.column(1)):
+            for doc, text, place in zip(batch.column(0), batch.column(1), batch.column(2)):
                 ids = encode(text.as_py() or "") + end
                 for k, (a, b) in enumerate(piece_bounds(len(ids) // 4, capacity)):
                     part = ids[4 * a : 4 * b]
-                    row = [doc.as_py(), k, a, b - a, zlib.crc32(part)]
+                    row = [doc.as_py(), k, a, b - a, zlib.crc32(part), place.as_py()]
                     for column, value in zip(rows, row + [np.frombuffer(part, "<i4")] * with_ids):
                         column.append(value)
                 size += len(ids)
                 if size > 8_000_000:
                     yield _batch(rows, with_ids)
-                    rows, size = [[] for _ in range(5 + with_ids)], 0
+                    rows, size = [[] for _ in range(6 + with_ids)], 0
             if rows[0]:
                 yield _batch(rows, with_ids)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    place = (F.lit(None) if shard is None else shard).cast("long").alias("shard")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), place).mapInArrow(run, schema)
 
 
 def _batch(rows: list[list], with_ids: bool) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["token_ids"] * with_ids
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()] + [pa.list_(pa.int32())] * with_ids
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "shard"] + ["token_ids"] * with_ids
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types)], names=names)
 
 
@@ -164,23 +183,45 @@ def sum_of_squares(sizes: Iterable[int], capacity: int, any_fit: bool = True) ->
 
 
 def place(pieces: DataFrame, capacity: int = CAPACITY, shard_items: int = SHARD_ITEMS) -> DataFrame:
-    """``pieces`` (materialised; columns doc_id, piece, length and others) with ``sequence_id`` and ``offset``."""
+    """``pieces`` (materialised; columns doc_id, piece, length, shard and others) with ``sequence_id`` and ``offset``.
+
+    A null shard is dealt by hash. Ids stay Arrow integers throughout.
+    """
     shards = max(1, round(pieces.count() / shard_items))
-    names = pieces.columns
+    names = [c for c in pieces.columns if c != "shard"]
 
-    def pack(key: tuple, items: pd.DataFrame) -> pd.DataFrame:
-        items = items.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        bins, offsets, _ = sum_of_squares(items["length"].tolist(), capacity)
-        return items[names].assign(sequence_id=np.array(bins, dtype=np.int64) + (int(key[0]) << 32), offset=np.array(offsets, dtype=np.int64))
+    def pack(key: tuple, items: pa.Table) -> pa.Table:
+        items = items.take(pc.sort_indices(items, [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")]))
+        bins, offsets, _ = sum_of_squares(items["length"].to_pylist(), capacity)
+        ids = np.array(bins, dtype=np.int64) + (key[0].as_py() << 32)
+        return items.select(names).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offsets, pa.int64()))
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    dealt = pieces.withColumn("__shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
-    return dealt.groupBy("__shard").applyInPandas(pack, schema)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema if f.name != "shard") + ", sequence_id long, offset long"
+    dealt = pieces.withColumn("shard", F.coalesce("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards))))
+    return dealt.groupBy("shard").applyInArrow(pack, schema)
 
 
-def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, ranks_name: str = RANKS) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str = TOKENIZER, shard: Column | None = None
+) -> DataFrame:
     """Placement of every piece, without its tokens: what a writer of sequences needs to know."""
-    return place(cut(tokenize(docs, id_col, text_col, capacity, end_id, ranks_name, with_ids=False)), capacity)
+    return place(cut(tokenize(docs, id_col, text_col, capacity, end_id, tokenizer, with_ids=False, shard=shard)), capacity)
+
+
+def pack_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_docs: int = SHARD_DOCS, **options) -> DataFrame:
+    """As :func:`pack_documents`, along the order of a table's files: sequences hold documents of ``shard_docs`` consecutive
+    rows, and sequence ids follow the order. Tables that are not read from files are dealt by hash."""
+    try:
+        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    except AnalysisException:
+        return pack_documents(docs, id_col, text_col, **options)
+    sizes = cut(rows.groupBy("file").agg((F.max("row") + 1).alias("n")))
+    # a row per file; names of one write sort in the order of its tasks
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("file", before.alias("before"))
+    starts = F.broadcast(starts) if sizes.count() <= 1_000_000 else starts
+    numbered = rows.join(starts, "file")
+    return pack_documents(numbered, shard=F.floor((F.col("before") + F.col("row")) / shard_docs), **options)
 
 
 def sequences(docs: DataFrame, **options) -> DataFrame:

@@ -36,8 +36,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every piece of every document goes."""
-    return packing.pack_documents(docs)
+    """Where every piece of every document goes; sequences follow the mixed order."""
+    return packing.pack_in_order(docs)
 
 
 STAGES = [
