@@ -2,7 +2,7 @@
 
 1. One narrow table of SHA-256 digests is made and checkpointed; texts are not shuffled.
 2. Every task runs a Misra-Gries summary of ``counters`` entries over its digests. Summaries are summed per
-   digest: a digest with more than ``rows / counters`` rows is certain to be among the candidates.
+   digest; the ``2 * counters`` with the largest sums are candidates. A digest missed there only takes the ordinary way.
 3. Candidates are verified by an exact count (map-side combined). Those above the floor - at most
    ``2 * counters`` rows, the bound of what is broadcast - are resolved map-side against the broadcast winners.
 4. All other digests have small groups by construction and take the ordinary shuffle.
@@ -25,6 +25,8 @@ from pyspark.sql.window import Window
 from catloom.runtime import cut
 
 COUNTERS = 1024
+#: Keys of 40 bytes that are broadcast at most.
+BROADCAST_KEYS = 500_000
 
 
 def misra_gries(batches: Iterator[pa.RecordBatch], counters: int) -> dict[bytes, int]:
@@ -61,9 +63,8 @@ def heavy_winners(table: DataFrame, counters: int = COUNTERS) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"digest": pa.array(list(held), pa.binary()), "seen": pa.array(list(held.values()), pa.int64())})
 
     seen = table.select("digest").mapInArrow(summarise, "digest binary, seen long")
-    # what fewer than a handful of rows share is never worth a broadcast entry
     candidates = (
-        seen.groupBy("digest").agg(F.sum("seen").alias("seen")).filter("seen > 4").orderBy(F.desc("seen"), "digest").limit(2 * counters)
+        seen.groupBy("digest").agg(F.sum("seen").alias("seen")).filter("seen > 1").orderBy(F.desc("seen"), "digest").limit(2 * counters)
     )
     verified = (
         table.join(F.broadcast(candidates.select("digest")), "digest", "left_semi")
@@ -96,14 +97,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """The rows of ``docs``, unchanged in columns, without those whose text a row with a larger id repeats."""
+    """The rows of ``docs``, unchanged in columns, without those whose text a row with a larger id repeats.
+
+    Only the keys of dropped rows travel; texts are shuffled if those keys are too many to broadcast.
+    """
     decided = cut(exact_groups(docs, id_col, text_col, counters).select("doc_id", "kept", F.unhex("text_sha256").alias("digest")))
-    kept = decided.filter("kept")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__digest", F.unhex(F.sha2(text, 256)))
-    keys = kept.select(F.col("doc_id").alias("__kept_id"), F.col("digest").alias("__kept_digest")).hint("shuffle_hash")
-    left = keyed.join(keys, F.col("__id").eqNullSafe(F.col("__kept_id")) & (F.col("__digest") == F.col("__kept_digest")), "left_semi")
-    twins = decided.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
-    if twins:  # the same row several times
-        left = left.dropDuplicates(["__id", "__digest"])
-    return left.drop("__id", "__digest")
+    per = decided.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    marked = cut(per.filter(~F.col("kept") | (F.col("n") > 1)))
+    gone = marked.filter(~F.col("kept")).select("doc_id", "digest")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone.hint("shuffle_hash")
+    # columns go by position, so that no name clashes
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    at = [f"c{docs.columns.index(c)}" for c in (id_col, text_col)]
+    keys = [F.col(at[0]).cast("long").alias("id"), F.unhex(F.sha2(F.coalesce(F.col(at[1]).cast("string"), F.lit("")), 256)).alias("key")]
+    left = plain.select("*", *keys)
+    left = left.join(gone, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("digest")), "left_anti")
+    if not marked.filter("kept").isEmpty():  # the same row several times
+        left = left.dropDuplicates(["id", "key"])
+    return left.drop("id", "key").toDF(*docs.columns)
