@@ -112,7 +112,8 @@ def pattern(shared: DataFrame, period: int) -> DataFrame:
 def order_in_source(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", cell_docs: int = CELL_DOCS) -> DataFrame:
     """``doc_id, source, rank``: the place of every row in its source's hashed order, from 0."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"))
-    base = base.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
+    # rows of null id are spread by their place in the input, which the cut makes lasting
+    base = cut(base.withColumn("h", F.md5(F.coalesce(F.col("doc_id"), F.monotonically_increasing_id()).cast("string").cast("binary"))))
     rows = base.count()
     digits = 1
     while 16**digits * cell_docs < rows:
@@ -173,10 +174,9 @@ def interleave(docs: DataFrame, weights: dict[str | None, float] | None = None,
     """The rows of ``docs``, unchanged and all of them, in mixed order (a range partitioned sort)."""
     order = mix(docs, weights, id_col, source_col, **options)
     # rows that share an id share its places; which of them takes which does not matter, so take the first
-    order = order.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source")).agg(F.min(F.struct("slot", "place")).alias("__at"))
-    matched = docs.join(
-        order.hint("shuffle_hash"),
-        F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & F.col(source_col).cast("string").eqNullSafe(F.col("__source")),
-        "left",
-    )
-    return matched.orderBy("__at.slot", "__at.place").drop("__id", "__source", "__at")
+    order = order.groupBy("doc_id", "source").agg(F.min(F.struct("slot", "place")).alias("at"))
+    # columns go by position, so that no name clashes
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    key, source = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, source_col))
+    matched = plain.join(order.hint("shuffle_hash"), key.cast("long").eqNullSafe(F.col("doc_id")) & source.cast("string").eqNullSafe(F.col("source")), "left")
+    return matched.orderBy("at.slot", "at.place").drop("doc_id", "source", "at").toDF(*docs.columns)
