@@ -7,14 +7,15 @@ decompressed frame; the manifest maps record ids to these addresses.
 
 Payload digests are computed JVM-side. Of equal payloads of at least ``min_bytes`` bytes the record with the
 smallest id is the response, the others are revisits that point to it; the smallest id per digest is found by a
-map-side combined aggregate and joined back on narrow rows, so frequent payloads cost no wide shuffle.
+map-side combined aggregate; payloads stay where they are unless the revisits are too many to broadcast.
 
 Bundles go to the shared folder under a name of their own for every task attempt; only the attempt whose manifest
 rows are committed counts, so lost executors and retries leave unused files, never wrong ones.
 
 Defined results: a null payload is the empty payload; null ids and urls are written as empty fields (a null id
 sorts after every other as a response); equal rows are records of their own; an empty table gives an empty
-manifest; other columns are not read. Nothing is truncated: very long payloads are streamed into their frame.
+manifest; other columns are not read. Nothing is truncated: a very long payload has a frame to itself, compressed in one
+piece, so a task holds one record at a time.
 """
 
 from __future__ import annotations
@@ -32,10 +33,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catloom.runtime import shared_path, stored
+from catloom.runtime import cut, shared_path, stored
 
 FRAME_BYTES = 1 << 18
 MIN_BYTES = 0
+#: Revisits (about 40 bytes) that are broadcast at most.
+BROADCAST_KEYS = 500_000
 # Fixed values of the seekable Zstandard format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 READ = "record_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -148,16 +151,21 @@ class BundleWriter:
 
 
 def with_references(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``record_id, url, payload, digest, refers_to``, the last null for responses."""
+    """``record_id, url, payload, refers_to, digest``; a null reference is a response. Of repeated ids with equal payloads the
+    rows are all responses if the id is the smallest."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     base = pages.select(F.col(id_col).cast("long").alias("record_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     narrow = base.select("record_id", F.unhex(F.sha1("payload")).alias("digest"), F.octet_length("payload").alias("bytes"))
     first = narrow.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.min("record_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     revisits = (
-        narrow.filter(F.col("bytes") >= min_bytes).join(first, "digest").filter("record_id <> first").select("record_id", F.col("first").alias("refers_to"), "digest")
+        narrow.filter(F.col("bytes") >= min_bytes).join(first, "digest").filter("not record_id <=> first").select("record_id", F.col("first").alias("refers_to"), "digest")
     )
     keyed = base.withColumn("digest", F.unhex(F.sha1("payload")))
-    return keyed.join(revisits.distinct().hint("shuffle_hash"), ["record_id", "digest"], "left").select("record_id", "url", "payload", "refers_to")
+    # few revisits are looked up in place; many make the payloads move once
+    revisits = cut(revisits.distinct().withColumnsRenamed({"record_id": "i", "digest": "d"}))
+    revisits = F.broadcast(revisits) if revisits.count() <= BROADCAST_KEYS else revisits.hint("shuffle_hash")
+    found = keyed.join(revisits, F.col("record_id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")), "left")
+    return found.select("record_id", "url", "payload", "refers_to", F.upper(F.hex("digest")).alias("digest"))
 
 
 def write_bundles(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = MIN_BYTES) -> DataFrame:
@@ -166,10 +174,10 @@ def write_bundles(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = None
         for batch in batches:
-            for i, url, payload, refers in zip(*(batch.column(k) for k in range(4))):
+            for i, url, payload, refers, digest in zip(*(batch.column(k) for k in range(5))):
                 writer = writer or BundleWriter(folder)
-                raw = payload.as_py()
-                writer.add(i.as_py(), record(i.as_py(), url.as_py(), raw, base32_sha1(raw), refers.as_py()))
+                digest = base64.b32encode(bytes.fromhex(digest.as_py())).decode()
+                writer.add(i.as_py(), record(i.as_py(), url.as_py(), payload.as_py(), digest, refers.as_py()))
         if writer:
             frame = pd.DataFrame(writer.close(), columns=[f.split()[0] for f in MANIFEST.split(", ")])
             types = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
