@@ -9,8 +9,8 @@ lower-cased, words split at ASCII white space, shingles are XXH64 digests as in
    that are untouched within the radius below, as in :mod:`catloom.llm.simhash`, would leave a fixed number of shards.)
 2. *Candidates.* In a shard, documents whose sizes allow similarity 4/5 and whose 128-bit fingerprints (of the set,
    without repeats) differ in at most ``RADIUS`` bits are joined by spanning edges; no pair rows. At similarity 4/5
-   about 19 of 128 bits differ, with a deviation of 4, between unrelated texts 64. A BK-tree cannot prune at
-   such radii, so a shard is searched by scans of what is not yet joined.
+   about 19 of 128 bits differ, with a deviation of 4, between unrelated texts 64. Each shard is searched by its
+   BK-tree, as in :mod:`catloom.llm.simhash`.
 3. *Decision.* The texts of each connected group of candidates meet in one task, which finds the connected components
    of the exact relation.
 
@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.simhash import SEED
+from catloom.llm.simhash import SEED, spanning_links, whole_groups
 from catloom.operators.components import connected_components
-from catloom.runtime import cut
+from catloom.runtime import cut, spread, without_ids
 
 SHINGLE = 5
 RADIUS = 36
@@ -102,16 +102,6 @@ def joined(near, n: int) -> Iterator[tuple[int, int]]:
                 yield from ((root, j) for j in found)
 
 
-def shard_edges(fps: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
-    """Candidate spanning edges in one shard; ``fps`` is (n, 2)."""
-
-    def near(i: int, others: np.ndarray) -> np.ndarray:
-        far = np.bitwise_count(fps[others] ^ fps[i]).sum(axis=1, dtype=np.int64)
-        return (far <= RADIUS) & (5 * np.minimum(sizes[others], sizes[i]) >= 4 * np.maximum(sizes[others], sizes[i]))
-
-    return list(joined(near, len(sizes)))
-
-
 def not_first(ids: list[int], texts: list[str | None], shingle: int = SHINGLE) -> set[int]:
     """The ids that are not the smallest of their component of the exact relation."""
     sets = [shingles(t, shingle) for t in texts]
@@ -184,43 +174,17 @@ def candidate_edges(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 yield whole.slice(at, 65536)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def flush(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            rows = np.concatenate(held) if len(held) > 1 else held[0]
-            cuts = [0, *(np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1).tolist(), len(rows)]
-            done = len(rows) if last else cuts[-2]
-            held = [rows[done:]]
-            bounds = np.array([c for c in cuts if c <= done])
-            sizes = np.diff(bounds)
-            fps, edges = np.ascontiguousarray(rows[:, 2:4]).view(np.uint64), []
-            # most shards with anything to compare hold two documents
-            a = bounds[:-1][sizes == 2]
-            n, m = rows[a, 4], rows[a + 1, 4]
-            far = np.bitwise_count(fps[a] ^ fps[a + 1]).sum(axis=1, dtype=np.int64)
-            hit = a[(far <= RADIUS) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m))]
-            edges.append(np.stack([rows[hit, 1], rows[hit + 1, 1]], axis=1))
-            for k in np.flatnonzero(sizes > 2).tolist():
-                lo, hi = int(bounds[k]), int(bounds[k + 1])
-                found = shard_edges(fps[lo:hi], rows[lo:hi, 4])
-                if found:
-                    edges.append(rows[lo:hi, 1][np.array(found)])
-            out = np.unique(np.sort(np.concatenate(edges), axis=1), axis=0)
-            if len(out):
+        for rows in whole_groups(batches, 1):
+            trees = np.concatenate([[0], np.cumsum(rows[1:, 0] != rows[:-1, 0])])
+            sizes = rows[:, 4]
+            allowed = lambda a, b, n=sizes: 5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])
+            a, b = spanning_links(trees, np.ascontiguousarray(rows[:, 2:4]).view(np.uint64), np.ones(len(rows), bool), RADIUS, allowed)
+            if len(a):
+                out = np.unique(np.sort(np.stack([rows[a, 1], rows[b, 1]], axis=1), axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
 
-        for batch in batches:
-            rows = np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1)
-            held.append(rows)
-            if len(rows) and held[0][0, 0] != rows[-1, 0]:
-                yield from flush(False)
-            held = [r for r in held if len(r)]
-        if held:
-            yield from flush(True)
-
     dealt = docs.mapInArrow(deal, "h long, doc_id long, fp long, fq long, size long")
-    return dealt.repartition("h").sortWithinPartitions("h").mapInArrow(search, "a long, b long")
+    return spread(dealt, "h").sortWithinPartitions("h").mapInArrow(search, "a long, b long")
 
 
 def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -251,5 +215,4 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` that are no later near copies; all columns unchanged. Rows of null id stay."""
-    gone = cut(later_copies(docs, id_col, text_col, shingle)).select(F.col("doc_id").alias("__dropped")).hint("shuffle_hash")
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
+    return without_ids(docs, id_col, cut(later_copies(docs, id_col, text_col, shingle)))

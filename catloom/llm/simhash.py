@@ -32,14 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catloom.operators.components import connected_components
-from catloom.runtime import cut
+from catloom.runtime import cut, spread, without_ids
 
 RADIUS = 4
 SHINGLE = 4
 SEED = 42
 TREE_ROWS = 16384
-LEAF = 64
 SHARD_TARGET = 1024
+#: Rows (component, smallest id) that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -75,41 +76,71 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-class BKTree:
-    """Nodes hold one fingerprint and children by distance; groups of up to ``LEAF`` values stay plain leaves."""
-
-    __slots__ = ("children", "leaf", "value")
-
-    def __init__(self, values: np.ndarray):
-        self.children: dict[int, BKTree] = {}
-        self.leaf = values if len(values) <= LEAF else None
-        if self.leaf is None:
-            self.value, rest = values[0], values[1:]
-            far = np.bitwise_count(rest ^ self.value)
-            order = np.argsort(far, kind="stable")
-            keys, starts = np.unique(far[order], return_index=True)
-            for key, members in zip(keys.tolist(), np.split(rest[order], starts[1:])):
-                self.children[key] = BKTree(members)
-
-    def links(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of (query positions, linked values), node by node; all queries walk the tree together."""
-        stack: list[tuple[BKTree, np.ndarray]] = [(self, np.arange(len(queries)))]
-        while stack:
-            node, active = stack.pop()
-            if node.leaf is not None:
-                near = np.bitwise_count(queries[active][:, None] ^ node.leaf[None, :]) <= radius
-                q, v = np.nonzero(near)
-                if len(q):
-                    yield active[q], node.leaf[v]
-                continue
-            far = np.bitwise_count(queries[active] ^ node.value).astype(np.int16)
-            hit = active[far <= radius]
-            if len(hit):
-                yield hit, np.full(len(hit), node.value)
-            for key, child in node.children.items():
-                follow = active[np.abs(far - key) <= radius]
-                if len(follow):
-                    stack.append((child, follow))
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of rows of 64-bit words."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
+class BKForest:
+    """BK-trees of many shards side by side: one value a node, children keyed by their distance to the parent.
+
+    Trees grow level by level: the first value of a shard is its root, the others go to its children by distance, of each
+    child's values the first is the node, and so on. Nodes are numbered in that order, so the keys (parent, distance) are
+    sorted and the children within a range of distances are one slice.
+    """
+
+    def __init__(self, trees: np.ndarray, values: np.ndarray):
+        self.values, self.span, self.followed = values, 64 * values.shape[1] + 1, 0
+        order = np.argsort(trees, kind="stable")
+        self.names, starts, counts = np.unique(trees[order], return_index=True, return_counts=True)
+        rows, keys, self.levels = [order[starts]], [], [(0, len(starts))]
+        at, below = np.repeat(np.arange(len(starts)), counts), np.ones(len(order), bool)
+        below[starts] = False
+        rest, at = order[below], at[below]
+        while len(rest):
+            begin, end = self.levels[-1]
+            key = at * self.span + distances(values[rest], values[rows[-1][at - begin]])
+            order = np.argsort(key, kind="stable")
+            rest = rest[order]
+            found, starts, counts = np.unique(key[order], return_index=True, return_counts=True)
+            keys.append(found)
+            rows.append(rest[starts])
+            self.levels.append((end, end + len(found)))
+            at, below = np.repeat(end + np.arange(len(found)), counts), np.ones(len(rest), bool)
+            below[starts] = False
+            rest, at = rest[below], at[below]
+        self.rows, self.keys = np.concatenate(rows), np.concatenate([np.zeros(0, np.int64), *keys])
+        self.parents = self.keys // self.span
+
+    def links(self, trees: np.ndarray, queries: np.ndarray, radius: int, skip=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(query, row)`` of all values within the radius; only edges between distance - radius and distance + radius are
+        followed. ``skip(queries, nodes)`` marks subtrees that need no visit."""
+        node = np.minimum(np.searchsorted(self.names, trees), len(self.names) - 1)
+        q = np.flatnonzero(self.names[node] == trees)
+        node = node[q]
+        while len(q):
+            far = distances(queries[q], self.values[self.rows[node]])
+            hit = far <= radius
+            yield q[hit], self.rows[node[hit]]
+            low = np.searchsorted(self.keys, node * self.span + np.maximum(far - radius, 0))
+            high = np.searchsorted(self.keys, node * self.span + np.minimum(far + radius, self.span - 1), "right")
+            n = high - low
+            node = np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum())) + len(self.names)
+            q = np.repeat(q, n)
+            if skip is not None:
+                open_ = ~skip(q, node)
+                q, node = q[open_], node[open_]
+            self.followed += len(q)
+
+    def uniform(self, labels: np.ndarray) -> np.ndarray:
+        """Per node the label that its whole subtree bears, -1 if there are several."""
+        low = labels[self.rows]
+        high = low.copy()
+        for begin, end in reversed(self.levels[1:]):
+            up = self.parents[begin - len(self.names) : end - len(self.names)]
+            np.minimum.at(low, up, low[begin:end])
+            np.maximum.at(high, up, high[begin:end])
+        return np.where(low == high, low, -1)
 
 
 def _find(parent: list[int], x: int) -> int:
@@ -118,26 +149,65 @@ def _find(parent: list[int], x: int) -> int:
     return x
 
 
-def spanning_links(built: np.ndarray, probing: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that connect whatever links between ``probing`` and ``built`` connect: at most one per value."""
-    if len(probing) <= LEAF:  # most shards: nothing but each value's link to itself
-        near = np.bitwise_count(probing[:, None] ^ built[None, :]) <= radius
-        if np.count_nonzero(near) == np.count_nonzero(np.isin(probing, built)):
-            return built[:0], built[:0]
-    values, codes = np.unique(np.concatenate([built, probing]), return_inverse=True)
-    parent = list(range(len(values)))
-    tree = BKTree(np.unique(built))
-    for at in range(0, len(probing), 4096):
-        block = probing[at : at + 4096]
-        for q, v in tree.links(block, radius):
-            a, b = codes[len(built) + at + q], np.searchsorted(values, v)
-            for x, y in {(x, y) for x, y in zip(a.tolist(), b.tolist()) if x != y}:
+def spanning_links(trees: np.ndarray, values: np.ndarray, own: np.ndarray, radius: int, accept=None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``(a, b)`` of spanning edges of the links between every row and the tree of its shard; trees hold the rows of
+    ``own``. ``accept(a, b)`` may rule links out.
+
+    Rows probe in blocks whose visits are bounded. A subtree whose values are all connected to the query already is not
+    entered, so groups of many near values cost about their size, not its square.
+    """
+    members = np.flatnonzero(own)
+    if not len(members):
+        return members, members
+    forest = BKForest(trees[members], values[members])
+    parent = list(range(len(trees)))
+    labels, uniform = np.arange(len(trees)), None
+    _, codes, sizes = np.unique(trees, return_inverse=True, return_counts=True)
+    cost = np.cumsum(sizes[codes])
+    a_out, b_out, begin, visits = [], [], 0, 1 << 16
+    while begin < len(trees):
+        end = max(begin + 1, int(np.searchsorted(cost, (cost[begin - 1] if begin else 0) + visits, "right")))
+        visits = min(2 * visits, 1 << 22)
+        known = labels[begin:end]
+        skip = None if uniform is None else lambda q, node, u=uniform, k=known: u[node] == k[q]
+        found = [np.stack([labels[begin + q], labels[members[v]], begin + q, members[v]]) for q, v in forest.links(trees[begin:end], values[begin:end], radius, skip)]
+        found = np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
+        found = found[:, found[0] != found[1]]
+        if accept is not None and found.shape[1]:
+            found = found[:, accept(found[2], found[3])]
+        if found.shape[1]:
+            _, first = np.unique(np.minimum(found[0], found[1]) * len(trees) + np.maximum(found[0], found[1]), return_index=True)
+            joined = False
+            for x, y, a, b in found[:, first].T.tolist():
                 x, y = _find(parent, x), _find(parent, y)
                 if x != y:
                     parent[max(x, y)] = min(x, y)
-    roots = np.array([_find(parent, i) for i in range(len(values))])
-    moved = np.flatnonzero(roots != np.arange(len(values)))
-    return values[moved], values[roots[moved]]
+                    joined = True
+                    a_out.append(a)
+                    b_out.append(b)
+            if joined:
+                labels = np.array([_find(parent, x) for x in labels.tolist()])
+                uniform = forest.uniform(labels[members])
+        begin = end
+    return np.array(a_out, np.int64), np.array(b_out, np.int64)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, target: int = 1 << 16) -> Iterator[np.ndarray]:
+    """Rows of integers sorted by their first ``keys`` columns, in blocks of ``target`` rows or more that split no group."""
+    held, waiting = [], 0
+    for batch in batches:
+        rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(batch.num_columns)], axis=1)
+        if not len(rows):
+            continue
+        held.append(rows)
+        waiting += len(rows)
+        if waiting >= target and (held[0][0, :keys] != rows[-1, :keys]).any():
+            rows = np.concatenate(held)
+            done = int(np.flatnonzero((rows[:, :keys] != rows[-1, :keys]).any(axis=1))[-1]) + 1
+            yield rows[:done]
+            held, waiting = [rows[done:]], len(rows) - done
+    if held:
+        yield np.concatenate(held)
 
 
 def block_choices(distinct: int, radius: int = RADIUS) -> list[int]:
@@ -176,43 +246,16 @@ def link_edges(distinct: DataFrame, n: int, radius: int = RADIUS, tree_rows: int
         shards = shards.select("fp", "choice", "value", F.lit(0).alias("tree"), F.lit(False).alias("probe_only"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        keys = None
-
-        def flush(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            rows = np.concatenate(held) if held else np.zeros((0, 5), np.int64)
-            if not len(rows):
-                return
-            change = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
-            ends = [*change.tolist(), len(rows)]
-            if not last:
-                ends = ends[:-1]
-            a_out, b_out, begin = [], [], 0
-            for end in ends:
-                if end - begin > 1:
-                    group = rows[begin:end]
-                    fps = np.ascontiguousarray(group[:, 3]).view(np.uint64)
-                    own = group[:, 4] == 0
-                    if own.any():
-                        a, b = spanning_links(fps[own], fps, radius)
-                        if len(a):
-                            a_out.append(a)
-                            b_out.append(b)
-                begin = end
-            held = [rows[begin:]]
-            if a_out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (a_out, b_out)], names=["a", "b"])
-
-        for batch in batches:
-            columns = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5)]
-            held.append(np.stack(columns, axis=1))
-            yield from flush(False)
-        yield from flush(True)
+        for rows in whole_groups(batches, 3):
+            trees = np.concatenate([[0], np.cumsum((rows[1:, :3] != rows[:-1, :3]).any(axis=1))])
+            fps = np.ascontiguousarray(rows[:, 3:4]).view(np.uint64)
+            a, b = spanning_links(trees, fps, rows[:, 4] == 0, radius)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(rows[x, 3]) for x in (a, b)], names=["a", "b"])
 
     sorted_shards = (
         shards.select("choice", "value", "tree", "fp", F.col("probe_only").cast("int").alias("probe_only"))
-        .repartition("choice", "value", "tree")
+        .transform(spread, "choice", "value", "tree")
         .sortWithinPartitions("choice", "value", "tree")
     )
     return sorted_shards.mapInArrow(run, "a long, b long")
@@ -223,14 +266,18 @@ def near_groups(
 ) -> DataFrame:
     """``doc_id, fp, component_id`` for every row: the smallest id reachable over links, itself included."""
     table = cut(fingerprints(docs, id_col, text_col, shingle, seed))
-    distinct = cut(table.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    edges = link_edges(distinct.select("fp"), distinct.count(), radius, tree_rows)
-    labels = connected_components(edges, "a", "b")
-    root = F.coalesce(F.col("component"), F.col("fp"))
-    rooted = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", root.alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    names = rooted.join(smallest, "root").select("fp", "component_id")
-    return table.join(names, "fp").select("doc_id", "fp", "component_id")
+    distinct = cut(table.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
+    labels = connected_components(link_edges(distinct.select("fp"), distinct.count(), radius, tree_rows), "a", "b")
+    linked = cut(distinct.join(labels, F.col("fp") == F.col("node")).select("fp", "first", "component"))
+    smallest = cut(linked.groupBy("component").agg(F.min("first").alias("component_id")))
+    smallest = F.broadcast(smallest) if smallest.count() <= BROADCAST_ROWS else smallest
+    named = linked.join(smallest, "component").select(F.col("fp").alias("of"), "component_id")
+    names = distinct.join(named, F.col("fp") == F.col("of"), "left").select("fp", "n", F.when(F.col("of").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
+    # fingerprints of more than a thousandth of all rows, so at most a thousand, are looked up in place
+    names = cut(names)
+    hot = F.broadcast(names.filter(F.col("n") > F.greatest(F.lit(table.count() // 1000), F.lit(1))).drop("n"))
+    rest = table.join(hot.select("fp"), "fp", "left_anti").join(names.drop("n"), "fp")
+    return table.join(hot, "fp").unionByName(rest).select("doc_id", "fp", "component_id")
 
 
 def hex_fingerprint(fp="fp"):
@@ -241,5 +288,4 @@ def hex_fingerprint(fp="fp"):
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; all columns unchanged. Rows of null id stay."""
     groups = near_groups(docs, id_col, text_col, radius, shingle)
-    dropped = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("__dropped")).distinct().hint("shuffle_hash")
-    return docs.join(dropped, F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
+    return without_ids(docs, id_col, cut(groups.filter("doc_id <> component_id").select("doc_id").distinct()))
