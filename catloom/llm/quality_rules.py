@@ -2,16 +2,18 @@
 
 Every document gets four rule values. For each stratum, rule and cutoff of a fixed grid, the labelled good
 documents of the stratum are a binomial sample of false rejections. A cutoff is *certified* if the exact binomial
-tail says that a false-rejection rate above ``ALPHA`` would show as few rejections with a probability of at most
+tail says that a false-rejection rate above its share of ``ALPHA`` would show as few rejections with a probability of at most
 ``DELTA`` divided by the number of tests (strata x rules x cutoffs: Bonferroni). Each rule then rejects at its
-most selective certified cutoff; a rule without one rejects nothing. With probability ``1 - DELTA`` no certified
-rule of any stratum rejects more than ``ALPHA`` of its good documents.
+most selective certified cutoff; a rule without one rejects nothing. A cutoff is certified at ``ALPHA`` divided by the
+number of rules, so with probability ``1 - DELTA`` the rules of a stratum together reject no more than ``ALPHA`` of its
+good documents, in every stratum.
 
 The stratum is the language. Cutoffs depend on labelled rows alone and are counted over all of them; the tail is
 summed natively, term by term in logarithms.
 
 Defined results: a null text is the empty text (no words); a null stratum is a stratum of its own; labels that
-are repeated count once each, labels of unknown documents not at all; without labels no rule is certified and
+are repeated count once, a document labelled both good and bad is not good, labels of unknown documents do not count;
+windows are compared by 64-bit hashes of word hashes; without labels no rule is certified and
 only the base rules reject; an empty table gives an empty result. Values are per row, so equal rows, ties and
 extra columns need nothing special.
 """
@@ -26,7 +28,7 @@ from catloom.runtime import cut
 ALPHA = 0.02
 DELTA = 0.05
 MIN_WORDS = 20
-WINDOW = 8
+WINDOW = 8  # a power of two
 SYMBOLS = "#*$%&|<>"
 SPACE = " \t\n\x0b\f\r"
 # value > cutoff rejects; grids are fixed before any label is seen
@@ -65,11 +67,12 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), stratum.alias("stratum"), text.alias("text"))
     base = base.withColumn("words", words_of(F.col("text"))).withColumn("n", F.size("words"))
     base = base.withColumn("marks", F.transform("words", lambda w: F.xxhash64(w)))
-    windows = F.when(
-        F.col("n") >= WINDOW,
-        F.transform(F.sequence(F.lit(1), F.greatest(F.col("n") - (WINDOW - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("marks", i, WINDOW))),
-    ).otherwise(F.array().cast("array<bigint>"))
-    base = base.withColumn("windows", windows)
+    # three doublings of the step join the marks of eight words: 1 + 1, 2 + 2, 4 + 4
+    base = base.withColumn("windows", F.col("marks"))
+    for step in (1, 2, 4):
+        length = F.greatest(F.size("windows") - step, F.lit(0))
+        pairs = F.zip_with(F.slice("windows", F.lit(1), length), F.slice("windows", F.lit(step + 1), length), lambda a, b: F.xxhash64(a, b))
+        base = base.withColumn("windows", F.when(F.size("windows") > step, pairs).otherwise(F.array().cast("array<bigint>")))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     base = base.withColumn("lines", lines)
     return base.select(
@@ -122,7 +125,7 @@ def certified_cutoffs(feats: DataFrame, good: DataFrame, alpha: float = ALPHA, d
     level = F.lit(delta / (sum(map(len, GRIDS.values())) * max(1, per.count())))
     best = []
     for rule, grid in GRIDS.items():
-        passed = [F.when(binomial_tail(F.col("n"), F.col(f"{rule}__{i}"), alpha) <= level, F.lit(float(c))) for i, c in enumerate(grid)]
+        passed = [F.when(binomial_tail(F.col("n"), F.col(f"{rule}__{i}"), alpha / len(GRIDS)) <= level, F.lit(float(c))) for i, c in enumerate(grid)]
         best.append(F.least(*passed).alias(rule))
     return per.select("stratum", F.col("n").alias("n_good"), *best)
 
@@ -133,7 +136,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ``labels``: ``doc_id`` and ``quality`` (1 is good), as they stand; other columns are not read.
     """
     feats = cut(features(docs, id_col, text_col, stratum_col))
-    good = labels.filter(F.col("quality") == 1).select("doc_id").distinct()
+    good = labels.groupBy("doc_id").agg(F.min("quality").alias("least"), F.max("quality").alias("most")).filter("least = 1 and most = 1").select("doc_id")
     cutoffs = cut(certified_cutoffs(feats, good, alpha, delta).toDF("stratum", "n_good", *[f"cut_{r}" for r in GRIDS]))
     strata = cutoffs.count()
     side = F.broadcast(cutoffs) if strata <= 10_000 else cutoffs
