@@ -3,7 +3,8 @@
 The network reads UTF-8 bytes in windows of ``WINDOW`` bytes, one gated recurrent layer per direction, and labels
 every position; a document's probabilities are the mean over all positions of its whole text. It is trained in
 numpy by backpropagation through time on a bounded, documented sample: at most ``DOCS_PER_LANG`` labelled
-documents per language, chosen by a hash of the id, and ``WINDOWS_PER_DOC`` hashed windows from each. Prediction
+rows per language, chosen by a hash of id and text, and ``WINDOWS_PER_DOC`` hashed windows from each; more than
+``MAX_LANGS`` labels are an error. Prediction
 reads all rows and whole texts in an Arrow map without a shuffle; weights of a few dozen KB travel with the task.
 
 Defined results: a null text, a text without letters and any text where nothing could be learned get ``und``
@@ -23,9 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from catloom.runtime import cut
+
 WINDOW = 64
-HIDDEN = 12
+HIDDEN = 16
 DOCS_PER_LANG = 256
+MAX_LANGS = 512
 WINDOWS_PER_DOC = 12
 STEPS = 360
 BATCH = 192
@@ -221,23 +225,30 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def training_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``(lang, window)``: the bounded sample. Ids are chosen first, on narrow rows and in two hashed levels."""
-    order = F.xxhash64(id_col)
+    """``(lang, windows)``: the bounded sample, at most ``DOCS_PER_LANG`` rows a language.
+
+    Rows, not ids, are chosen, by a hash of id and text, on narrow rows and in two levels; equal rows count once.
+    """
     usable = F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col)
-    narrow = docs.filter(usable).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), order.alias("h"))
+    key = F.xxhash64(F.col(id_col), F.col(text_col))
+    rows = docs.filter(usable).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), key.alias("h"))
+    narrow = rows.select("lang", "h")
     for keys in (["lang", F.pmod("h", F.lit(64))], ["lang"]):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("h", "id"))
+        rank = F.dense_rank().over(Window.partitionBy(*keys).orderBy("h"))
         narrow = narrow.withColumn("rank", rank).filter(F.col("rank") <= DOCS_PER_LANG).drop("rank")
-    chosen = [r["id"] for r in narrow.select("id").distinct().collect()]
-    span = F.greatest(F.length(text_col) - WINDOW + 1, F.lit(1))
-    starts = [F.pmod(F.xxhash64(F.col(id_col), F.lit(k)), span).cast("int") + 1 for k in range(WINDOWS_PER_DOC)]
-    cuts = F.array(*[F.substring(F.col(text_col), s, F.lit(WINDOW)) for s in starts])
-    return docs.filter(usable & F.col(id_col).isin(chosen)).select(F.col(lang_col).cast("string").alias("lang"), F.explode(F.array_distinct(cuts)).alias("window"))
+    last = cut(narrow.groupBy("lang").agg(F.max("h").alias("last")))
+    if last.count() > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages; give a column of fewer labels")
+    span = F.greatest(F.length("text") - WINDOW + 1, F.lit(1))
+    starts = [F.pmod(F.xxhash64(F.col("id"), F.lit(k)), span).cast("int") + 1 for k in range(WINDOWS_PER_DOC)]
+    cuts = F.array_distinct(F.array(*[F.substring(F.col("text"), s, F.lit(WINDOW)) for s in starts]))
+    chosen = rows.join(F.broadcast(last), "lang").filter(F.col("h") <= F.col("last"))  # one row a language
+    return chosen.select("lang", "h", cuts.alias("windows")).groupBy("lang", "h").agg(F.min("windows").alias("windows")).drop("h")
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteGRU | None:
-    rows = training_windows(docs, id_col, text_col, lang_col).collect()
-    return train([r["window"] for r in rows], [r["lang"] for r in rows])
+    rows = sorted((r["lang"], w) for r in training_windows(docs, id_col, text_col, lang_col).collect() for w in r["windows"])
+    return train([w for _, w in rows], [lang for lang, _ in rows])
 
 
 def _judge(model: ByteGRU | None, texts: list[str | None], lettered: list[bool]) -> tuple[list[str], np.ndarray]:
