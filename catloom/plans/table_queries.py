@@ -486,7 +486,7 @@ def page_links(spark, sf_dir):
 def page_rows(spark, sf_dir):
     """Pages through the extractor for titled pages."""
     pages = table(spark, sf_dir, "pages").select("url", F.col("html").alias("body"))
-    return extract.page_rows(pages, F.lit("titled"), source="pages")
+    return extract.page_rows(pages, F.lit("titled"), source="pages", kinds=("titled",))
 
 
 @query("""WITH l AS (SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
