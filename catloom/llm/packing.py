@@ -51,6 +51,12 @@ _L, _N, _S = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", r"0-9\xb2\xb3\xb9
 _PIECES = re.compile(rf" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+".encode())
 
 
+# Byte-level vocabularies spell bytes as letters: printable Latin-1 characters stand for themselves, the other bytes, in
+# order, for the letters from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+
+
 class Encoder(dict):
     """Text to little-endian ids of a ``tokenizers`` file at its default setting: the strings of its added tokens give their
     ids. Word pieces of Latin-1 texts are cached, other texts are encoded whole.
@@ -62,6 +68,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as handle:
             file = json.load(handle)
         added = file["added_tokens"]
@@ -76,7 +83,8 @@ class Encoder(dict):
     def __missing__(self, piece: bytes) -> bytes:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        ids = self[piece] = self._whole(piece.decode("latin-1"))
+        spelled = piece.decode("latin-1").encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = self[piece] = array.array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         return ids
 
     def _whole(self, text: str) -> bytes:
