@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import corpus_pipeline
+from catloom.llm import packing
 from tests.llm.test_operators import sentence
 
 
@@ -20,6 +21,8 @@ def test_stages(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         out.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
+        if stage is corpus_pipeline.mix_sources:
+            mixed = docs
         seen.append({r["doc_id"] for r in docs.select("doc_id").collect()})
         if stage is not corpus_pipeline.pack:
             assert docs.columns == df.columns
@@ -28,6 +31,14 @@ def test_stages(spark, tmp_path):
     clean = set(range(10, 120)) - set(range(20, 30))
     assert clean <= seen[2] and set(range(20, 30)) <= seen[2] and len(seen[2] & set(range(600, 610))) <= 6
     assert seen[3] == seen[2] == seen[4]
+    # packing follows the mixed order: a shard holds consecutive rows, and other weights give another result
+    ranked = [r["doc_id"] for r in mixed.orderBy("_metadata.file_name", "_metadata.row_index").select("doc_id").collect()]
+    packed = packing.pack_in_order(mixed, shard_docs=10).collect()
+    assert all(r["sequence_id"] >> 32 == ranked.index(r["doc_id"]) // 10 for r in packed)
+    other = corpus_pipeline.mixing.interleave(mixed, {"src0": 0.7, "src1": 0.1, "src2": 0.1, "src3": 0.1})
+    other.write.parquet(str(tmp_path / "other"))
+    again = {(r["doc_id"], r["sequence_id"]) for r in packing.pack_in_order(spark.read.parquet(str(tmp_path / "other")), shard_docs=10).collect()}
+    assert again != {(r["doc_id"], r["sequence_id"]) for r in packed}
     final = corpus_pipeline.run(spark, str(tmp_path))
     used = defaultdict(int)
     for r in final.collect():
