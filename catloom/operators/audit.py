@@ -102,3 +102,9 @@ def gap_queue(rows: DataFrame, limit: int | None = None, order_col: str = "_ord"
     open_rows = rows.filter(strip("youtube_url") == "").withColumn("priority_score", values.gap_priority("era", "row_type", "spotify_url"))
     ordered = open_rows.orderBy(F.desc("priority_score"), order_col)
     return ordered.limit(limit) if limit is not None else ordered
+
+
+def severity_counts(scored: DataFrame) -> DataFrame:
+    """``severity, n, quarantined`` over scored links."""
+    m, t, a = F.col("type_mismatch"), F.col("title_score"), F.col("artist_score")
+    return scored.groupBy(values.severity(m, t, a).alias("severity")).agg(F.count(F.lit(1)).alias("n"), F.count_if(values.quarantine(m, t, a)).alias("quarantined"))

@@ -52,3 +52,8 @@ def build(rows: DataFrame, order_col: str = ORDER) -> dict[str, DataFrame]:
         "works": works(rows, order_col).orderBy(F.lower("artist_name"), F.lower("work_name"), order_col).drop(order_col),
         "tracks": tracks(rows, order_col),
     }
+
+
+def in_order(dimension: DataFrame, *names: str, order_col: str = "_ord") -> DataFrame:
+    """A dimension as files list it: by its names without regard to case, then by first row (a range partitioned sort)."""
+    return dimension.orderBy(*[F.lower(n) for n in names], order_col)

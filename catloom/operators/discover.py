@@ -119,3 +119,11 @@ def coverage_report(songs: DataFrame, rows: DataFrame) -> DataFrame:
     return both.select("artist", F.size("played").cast("long").alias("setlist_count"), F.size("known").cast("long").alias("known_count"), similarity.coverage(F.col("played"), F.col("known")).alias("c")).select(
         "artist", "setlist_count", "known_count", "c.*"
     )
+
+
+def seeds(rows: DataFrame) -> DataFrame:
+    """Discovery seeds: artists with a catalogue id, the core ones first; an empty database id is null."""
+    rank = F.when(F.col("priority") == "core", 0).when(F.col("priority") == "associated", 1).otherwise(2)
+    filled = F.when(F.trim("musicbrainz_artist_id") != "", F.trim("musicbrainz_artist_id"))
+    kept = rows.filter(F.trim(F.coalesce("discogs_artist_id", F.lit(""))) != "")
+    return kept.withColumn("musicbrainz_artist_id", filled).withColumn("rank", rank)

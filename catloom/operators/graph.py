@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catloom.runtime import cut
 
@@ -30,3 +31,25 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int = 3, allowed: C
         if max_nodes is not None and visited.count() >= max_nodes:
             return visited.orderBy("depth", "node").limit(max_nodes)
     return visited
+
+
+def robots_rules(robots: DataFrame) -> DataFrame:
+    """``host, path, allow`` of the rules for every agent in robots files ``(host, body)``.
+
+    Files fetched in a run are stored for the next one: a run without stored files has no rules.
+    """
+    lines = robots.select("host", F.posexplode(F.split(F.coalesce("body", F.lit("")), r"\r?\n")).alias("pos", "line"))
+    found = lines.select("host", "pos", F.lower(F.trim(F.regexp_extract("line", r"^\s*([A-Za-z-]+)\s*:", 1))).alias("key"), F.trim(F.regexp_extract("line", r"^[^:]*:\s*([^#]*)", 1)).alias("value"))
+    order = Window.partitionBy("host").orderBy("pos")
+    agent = F.last(F.when(F.col("key") == "user-agent", F.col("value")), ignorenulls=True).over(order)
+    rules = found.withColumn("agent", agent).filter(F.col("key").isin("allow", "disallow") & (F.col("agent") == "*") & (F.col("value") != ""))
+    return rules.select("host", F.col("value").alias("path"), (F.col("key") == "allow").alias("allow"))
+
+
+def permitted(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:
+    """The urls no stored rule forbids: the longest rule whose path begins the url's path decides, allowing ones on ties."""
+    named = urls.withColumn("host", F.regexp_extract(url_col, r"^[a-z]+://([^/?#]*)", 1)).withColumn("path", F.regexp_extract(url_col, r"^[a-z]+://[^/?#]*([^#]*)", 1))
+    of = rules.groupBy("host").agg(F.collect_list(F.struct(F.length("path").alias("size"), "allow", F.col("path").alias("begin"))).alias("rules"))
+    joined = named.join(of, "host", "left")
+    fits = F.array_max(F.filter(F.coalesce("rules", F.array().cast("array<struct<size:int,allow:boolean,begin:string>>")), lambda r: F.startswith(F.col("path"), r["begin"])))
+    return joined.filter(F.coalesce(fits["allow"], F.lit(True))).select(*urls.columns)

@@ -192,3 +192,8 @@ def genre_terms(rows: DataFrame) -> DataFrame:
     """How often every genre term occurs, and whether it is allowed."""
     terms = rows.select(F.explode(comma_list("genre")).alias("genre"))
     return terms.groupBy("genre").agg(F.count(F.lit(1)).alias("n")).withColumn("allowed", F.size(bad_genres("genre")) == 0)
+
+
+def clusters_without_original(listed: DataFrame) -> DataFrame:
+    """High-confidence clusters whose original is missing: an issue each."""
+    return listed.filter((F.col("cluster_confidence") == "high") & F.col("original").isNull()).select("cluster_id")

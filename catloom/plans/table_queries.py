@@ -401,12 +401,11 @@ def gap_queue(spark, sf_dir):
     return audit.gap_queue(disc(spark, sf_dir), 95).select("_ord", "priority_score")
 
 
-@query("""WITH c AS (SELECT s_suppkey, p_partkey, (s_suppkey * p_partkey) % 101 AS score FROM supplier JOIN part ON p_partkey % 50 = s_suppkey % 50)
+@query("""WITH c AS (SELECT DISTINCT l_suppkey AS s_suppkey, l_partkey AS p_partkey, (l_suppkey * l_partkey) % 101 AS score FROM lineitem)
 SELECT s_suppkey, max(score) / 100.0 AS score, arg_max(p_partkey, row(score, -p_partkey)) AS p_partkey FROM c WHERE score > 0 GROUP BY s_suppkey""")
 def best_candidate(spark, sf_dir):
-    """Best candidate per row, the first on ties."""
-    s, p = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "part")
-    pairs = s.join(p, F.col("p_partkey") % 50 == F.col("s_suppkey") % 50)
+    """Best of the parts a supplier delivers, the first on ties."""
+    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey")).distinct()
     rows = pairs.select("s_suppkey", "p_partkey", ((F.col("s_suppkey") * F.col("p_partkey")) % 101 / 100.0).alias("score"), F.lit(0).alias("query_pos"), F.col("p_partkey").alias("pos"))
     return enrich.best_candidate(rows, "s_suppkey").select("s_suppkey", "score", "p_partkey")
 
@@ -427,16 +426,24 @@ def set_coverage(spark, sf_dir):
     return docs.join(bench, "w", "left").groupBy("lang").agg(F.count("hit").alias("matched"), F.round(100.0 * F.count("hit") / F.count(F.lit(1)), 2).alias("rate"))
 
 
-@query("""WITH t AS (SELECT p_partkey, list_sort(list_distinct(string_split(lower(p_name), ' '))) AS w FROM part)
-SELECT a.p_partkey AS left_key, b.p_partkey AS right_key, len(list_intersect(a.w, b.w)) / CAST(len(list_distinct(list_concat(a.w, b.w))) AS DOUBLE) AS overlap
-FROM t a JOIN t b ON a.p_partkey < b.p_partkey AND a.p_partkey % 40 = b.p_partkey % 40 WHERE len(list_intersect(a.w, b.w)) > 0""")
+@query("""WITH t AS (SELECT DISTINCT lower(p_name) AS name, list_sort(list_distinct(string_split(lower(p_name), ' '))) AS w FROM part)
+SELECT a.name AS left_name, b.name AS right_name, len(list_intersect(a.w, b.w)) / CAST(len(list_distinct(list_concat(a.w, b.w))) AS DOUBLE) AS overlap
+FROM t a JOIN t b ON a.name < b.name WHERE len(list_intersect(a.w, b.w)) > 0""")
 def jaccard_pairs(spark, sf_dir):
-    """Token overlap of part names inside blocks."""
+    """Token overlap of distinct part names that share a token."""
     from catloom.functions.similarity import jaccard
 
-    t = table(spark, sf_dir, "part").select("p_partkey", F.array_sort(F.array_distinct(F.split(F.lower("p_name"), " "))).alias("w"), (F.col("p_partkey") % 40).alias("k"))
-    pairs = t.select(F.col("p_partkey").alias("left_key"), F.col("w").alias("x"), "k").join(t.select(F.col("p_partkey").alias("right_key"), F.col("w").alias("y"), "k"), "k")
-    return pairs.filter("left_key < right_key").select("left_key", "right_key", jaccard(F.col("x"), F.col("y")).alias("overlap")).filter("overlap > 0")
+    t = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name")).distinct()
+    words = t.withColumn("w", F.array_sort(F.array_distinct(F.split("name", " ")))).select("name", "w", F.explode("w").alias("k"))
+    pairs = words.toDF("left_name", "x", "k").join(words.toDF("right_name", "y", "k"), "k").filter("left_name < right_name")
+    return pairs.select("left_name", "right_name", "x", "y").distinct().select("left_name", "right_name", jaccard(F.col("x"), F.col("y")).alias("overlap"))
+
+
+@query(f"""WITH {_SCORED} SELECT CASE WHEN m OR t < 0.35 OR a < 0.25 THEN 'high' WHEN t < 0.55 OR a < 0.4 THEN 'medium' ELSE 'low' END AS severity, count(*) AS n, count(*) FILTER ({_BAD}) AS quarantined
+FROM s GROUP BY 1""")
+def severity_counts(spark, sf_dir):
+    """Scored links by severity, and how many of each are to be cleared."""
+    return audit.severity_counts(_scores(spark, sf_dir))
 
 
 def title_rows(spark, sf_dir):

@@ -73,8 +73,8 @@ def detector_titles(spark, sf_dir):
 
 @query()
 def title_forms(spark, sf_dir):
-    """Forms and components of part titles."""
-    return titles(spark, sf_dir).filter("id >= 1000000").select("id", text.title_forms("t").alias("forms"), text.title_components("t").alias("components"))
+    """Forms and components of all titles."""
+    return titles(spark, sf_dir).select("id", text.title_forms("t").alias("forms"), text.title_components("t").alias("components"))
 
 
 @query()

@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catloom import schema
 from catloom.schema import SchemaMismatch, check_header, filled, strings
@@ -207,3 +208,13 @@ class Change:
 
     def commit(self) -> None:
         write_csv(self.df, self.path, **self.options)
+
+
+def read_sidecars(spark: SparkSession, pattern: str) -> DataFrame:
+    """Patch rows ``row_index, field_name, value`` of all files of a pattern with their ``file`` and ``line`` (from 0), the
+    order in which they apply."""
+    raw = spark.read.text(pattern).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"))
+    cells = F.from_csv("value", "row_index string, field_name string, value string", {"mode": "PERMISSIVE"})
+    rows = raw.select("file", "at", cells.alias("c")).filter("c.row_index is not null and c.row_index <> 'row_index'")
+    line = F.row_number().over(Window.partitionBy("file").orderBy("at")) - 1
+    return rows.select("c.*", "file", line.alias("line"))
