@@ -41,47 +41,68 @@ _add(
     "norm_cache", text.norm_cache,
     r"trim(regexp_replace(trim(regexp_replace(trim(regexp_replace(replace(regexp_replace(regexp_replace(lower(t), '\(feat\.[^)]+\)|\(ft\.[^)]+\)', '', 'g'), '^\[[^\]]+\]\s*', ''), '&', 'and'), '[^a-z0-9]+', ' ', 'g')), '\bthe\b', '', 'g')), '\s+', ' ', 'g'))",
 )
-_add(
-    "norm_audit", text.norm_audit,
-    _ALNUM.format(
-        rf"regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace({_LOW}, '^\[[^\]]+\]\s*', ''), {_FEAT}, '', 'g'), '\b(feat\.?|ft\.?|featuring)\b.*$', '', 'g'), '&', ' and '), '\b4\b', 'for', 'g'), '\b2\b', 'to', 'g')"
-    ),
-)
+
+
+def _audit(x):
+    """The audit normaliser of ``x``."""
+    low = rf"regexp_replace(regexp_replace(lower({_STRIP.format(x)}), '^\[[^\]]+\]\s*', ''), {_FEAT}, '', 'g')"
+    return _ALNUM.format(rf"regexp_replace(regexp_replace(replace(regexp_replace({low}, '\b(feat\.?|ft\.?|featuring)\b.*$', '', 'g'), '&', ' and '), '\b4\b', 'for', 'g'), '\b2\b', 'to', 'g')")
+
+
+_add("norm_audit", text.norm_audit, _audit("t"))
 _WORDS = "(remix|mix|edit|extended|instrumental|dub|version|live)"
 _BASE = rf"""CASE WHEN contains({_STRIP.format('t')}, ' - ') AND regexp_matches(substr({_STRIP.format('t')}, instr({_STRIP.format('t')}, ' - ') + 3), '\b{_WORDS}\b', 'i')
  THEN split_part({_STRIP.format('t')}, ' - ', 1) ELSE {_STRIP.format('t')} END"""
 _CUT = _STRIP.format(rf"regexp_replace({_BASE}, '\(([^)]*{_WORDS}[^)]*)\)$', '', 'i')")
 _add("base_title", text.base_title, f"CASE WHEN {_CUT} = '' THEN {_STRIP.format('t')} ELSE {_CUT} END")
 
-# The detector's chain in steps, as every step reads the one before twice.
-_CLEAN = rf"""c1 AS (SELECT id, {_STRIP.format('t')} AS t FROM first),
-c2 AS (SELECT id, CASE WHEN starts_with(t, '[') AND contains(t, '] ') THEN {_STRIP.format("substr(t, instr(t, '] ') + 2)")} ELSE t END AS t FROM c1),
-c3 AS (SELECT id, {_STRIP.format(rf"regexp_replace(regexp_replace(t, {_FEAT}, '', 'gi'), '\s+', ' ', 'g')")} AS t FROM c2),
-c4 AS (SELECT id, t AS c, {_STRIP.format(r"CASE WHEN contains(t, ' - ') AND regexp_matches(lower(substr(t, instr(t, ' - ') + 3)), 'remix|mix|edit|extended|instrumental|dub|version|live|remaster|radio|mono|stereo|session|recording|rehearsal|bonus') THEN split_part(t, ' - ', 1) ELSE t END")} AS t FROM c3),
-c5 AS (SELECT id, c, {_STRIP.format(r"regexp_replace(t, '\(([^)]*(remix|mix|edit|extended|instrumental|dub|version|live|remaster|radio|mono|stereo)[^)]*)\)$', '', 'i')")} AS t FROM c4),
-base AS (SELECT id, c AS cleaned, CASE WHEN t = '' THEN c ELSE t END AS b FROM c5),
-cmp AS (SELECT id, cleaned, b, trim(regexp_replace(regexp_replace(replace(lower(b), '&', ' and '), '\b(pt|part)\s*\.?\s*\d+\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS n FROM base)"""
+
+
+def _clean(rows, p):
+    """The detector's chain over ``rows`` (id, t) in steps, as every step reads the one before twice; the last one is ``{p}cmp``."""
+    return rf"""{p}1 AS (SELECT id, {_STRIP.format('t')} AS t FROM {rows}),
+{p}2 AS (SELECT id, CASE WHEN starts_with(t, '[') AND contains(t, '] ') THEN {_STRIP.format("substr(t, instr(t, '] ') + 2)")} ELSE t END AS t FROM {p}1),
+{p}3 AS (SELECT id, {_STRIP.format(rf"regexp_replace(regexp_replace(t, {_FEAT}, '', 'gi'), '\s+', ' ', 'g')")} AS t FROM {p}2),
+{p}4 AS (SELECT id, t AS c, {_STRIP.format(r"CASE WHEN contains(t, ' - ') AND regexp_matches(lower(substr(t, instr(t, ' - ') + 3)), 'remix|mix|edit|extended|instrumental|dub|version|live|remaster|radio|mono|stereo|session|recording|rehearsal|bonus') THEN split_part(t, ' - ', 1) ELSE t END")} AS t FROM {p}3),
+{p}5 AS (SELECT id, c, {_STRIP.format(r"regexp_replace(t, '\(([^)]*(remix|mix|edit|extended|instrumental|dub|version|live|remaster|radio|mono|stereo)[^)]*)\)$', '', 'i')")} AS t FROM {p}4),
+{p}base AS (SELECT id, c AS cleaned, CASE WHEN t = '' THEN c ELSE t END AS b FROM {p}5),
+{p}cmp AS (SELECT id, cleaned, b, trim(regexp_replace(regexp_replace(replace(lower(b), '&', ' and '), '\b(pt|part)\s*\.?\s*\d+\b', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS n FROM {p}base)"""
+
+
 _STOP = "['a','an','and','feat','featuring','ft','for','in','of','on','part','pt','the','to','version']"
 
 
-@query(f"WITH {_FIRST}, {_CLEAN} SELECT id, cleaned, b AS base, n AS compared, list_sort(list_distinct(list_filter(string_split(n, ' '), lambda w: length(w) > 1 AND NOT list_contains({_STOP}, w)))) AS tokens FROM cmp")
+@query(f"WITH {_FIRST}, {_clean("first", "c")} SELECT id, cleaned, b AS base, n AS compared, list_sort(list_distinct(list_filter(string_split(n, ' '), lambda w: length(w) > 1 AND NOT list_contains({_STOP}, w)))) AS tokens FROM ccmp")
 def detector_titles(spark, sf_dir):
     """Cleaned, base and compared titles with their tokens."""
     base = titles(spark, sf_dir).withColumn("compared", text.norm_compare("t"))
     return base.select("id", text.matching_title("t").alias("cleaned"), text.detector_base_title("t").alias("base"), "compared", text.tokens(F.col("compared")).alias("tokens"))
 
 
-@query()
+_VARIANTS = text.VARIANT_WORDS.replace("'", "''")
+
+
+@query(rf"""WITH {_FIRST}, raw AS (SELECT id, {_STRIP.format('t')} AS r, regexp_extract({_STRIP.format('t')}, '\ba\.?k\.?a\.?\b(.+)$', 1, 'i') AS a FROM first),
+tail AS (SELECT *, regexp_replace(a, '^[ \-:;]+|[ \-:;]+$', '', 'g') AS e FROM raw),
+shape AS (SELECT id, [r, regexp_replace(r, '\([^)]*\)', '', 'g')] || string_split_regex(r, '\s*/\s*|\s*;\s*') || CASE WHEN a <> '' THEN [e] || string_split_regex(e, '\s+-\s+') ELSE [] END AS s FROM tail),
+norm AS (SELECT id, list_transform(s, lambda x: {_audit('x')}) AS s FROM shape),
+form AS (SELECT id, list_sort(list_distinct(list_filter(s || list_transform(s, lambda x: trim(regexp_replace(regexp_replace(x, '{_VARIANTS}', ' ', 'gi'), '\s+', ' ', 'g'))), lambda x: x <> ''))) AS forms FROM norm),
+{_clean("first", "w")}, part AS (SELECT {{'id': id, 'pos': 0}} AS id, cleaned AS t FROM wcmp UNION ALL
+ SELECT {{'id': id, 'pos': unnest(range(1, len(string_split_regex(cleaned, '\s*/\s*')) + 1))}}, unnest(string_split_regex(cleaned, '\s*/\s*')) FROM wcmp WHERE contains(cleaned, '/')),
+{_clean("part", "p")}, listed AS (SELECT id.id AS id, list(n ORDER BY id.pos) AS l FROM pcmp WHERE n <> '' GROUP BY 1)
+SELECT form.id, forms, CASE WHEN l IS NULL THEN [] ELSE list_filter(l, lambda x, i: list_position(l, x) = i) END AS components FROM form LEFT JOIN listed ON form.id = listed.id""")
 def title_forms(spark, sf_dir):
     """Forms and components of all titles."""
     return titles(spark, sf_dir).select("id", text.title_forms("t").alias("forms"), text.title_components("t").alias("components"))
 
 
-@query()
+@query(rf"""WITH {_FIRST}, raw AS (SELECT id, {_STRIP.format('t')} AS r FROM first),
+part AS (SELECT id, list_filter(list_transform([r] || string_split_regex(r, '(?i)\s*(?:,|/|&| and | with | feat\.?|ft\.?|featuring)\s*'), lambda x: {_STRIP.format('x')}), lambda x: x <> '') AS v FROM raw),
+keyed AS (SELECT id, v, list_transform(v, lambda x: {_audit('x')}) AS k FROM part)
+SELECT id, list_filter(v, lambda x, i: k[i] <> '' AND list_position(k, k[i]) = i) AS credits FROM keyed""")
 def artist_credits(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    credit = F.concat("n_name", F.lit(" & The "), "n_name", F.lit(" Band feat. "), F.lower("n_name"))
-    return nation.select("n_nationkey", text.artist_credits(credit).alias("credits"))
+    """Every title read as a credit: the whole, then its parts."""
+    return titles(spark, sf_dir).select("id", text.artist_credits("t").alias("credits"))
 
 
 @query("""SELECT c_custkey, 'art_' || substr(sha1(lower(trim(c_name))), 1, 12) AS artist_id,
