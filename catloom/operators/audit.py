@@ -10,6 +10,7 @@ from catloom.functions import text, values
 from catloom.functions.similarity import artist_similarity, title_similarity
 from catloom.functions.text import strip
 from catloom.operators.reconcile import EVENT, appended
+from catloom.runtime import cut
 
 META = T.MapType(T.StringType(), T.StructType([T.StructField("name", T.StringType()), T.StructField("artists", T.ArrayType(T.StringType())), T.StructField("album_name", T.StringType())]))
 
@@ -80,12 +81,7 @@ def quarantined(rows: DataFrame, found: DataFrame, entries: DataFrame, today: Co
 
 
 def medium_queue(found: DataFrame, rows: DataFrame) -> DataFrame:
-    """Findings of medium severity by blended priority, ties by row number, ranked from 1.
-
-    The rank needs a total order; it is taken over the queue, which people work through, not over the table.
-    """
-    from pyspark.sql.window import Window
-
+    """Findings of medium severity by blended priority, ties by row number, ranked from 1."""
     base = rows.select("row_number", F.col("era").alias("__era"), F.col("artist").alias("__artist"))
     queue = found.filter((F.col("severity") == "medium") & (F.col("row_number") > 1)).join(base, "row_number", "left")
     impact = values.impact_score("__era", "row_type", "__artist")
@@ -93,8 +89,22 @@ def medium_queue(found: DataFrame, rows: DataFrame) -> DataFrame:
     queue = queue.withColumn("impact_score", impact).withColumn("mismatch_score", mismatch)
     queue = queue.withColumn("priority_score", F.round(F.col("impact_score") * 0.65 + F.col("mismatch_score") * 0.35, 4))
     queue = queue.withColumn("review_action", values.review_action(F.col("reason_codes"), F.col("artist_score")))
-    rank = F.row_number().over(Window.orderBy(F.desc("priority_score"), "row_number"))
-    return queue.withColumn("priority_rank", rank).drop("__era", "__artist")
+    return ranked(queue.drop("__era", "__artist"), [F.desc("priority_score"), F.asc("row_number")], "priority_rank")
+
+
+def ranked(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows numbered from 1 in a total order: sorted ranges, each numbered from where the ones before it end."""
+    from pyspark.sql.window import Window
+
+    # cut, so that the ranges that are counted are the ranges that are numbered
+    marked = cut(rows.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
+    part = F.shiftright("__id", 33)
+    sizes = marked.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("n"), F.min("__id").alias("__first"))
+    # one row per range: the only thing that is ordered as a whole
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("__p", "__first", before.alias("__before"))
+    joined = marked.join(F.broadcast(starts), part == F.col("__p"))
+    return joined.withColumn(name, F.col("__before") + F.col("__id") - F.col("__first") + 1).drop("__id", "__p", "__first", "__before")
 
 
 def gap_queue(rows: DataFrame, limit: int | None = None, order_col: str = "_ord") -> DataFrame:

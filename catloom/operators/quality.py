@@ -136,7 +136,7 @@ def _message(text: str, n: Column) -> Column:
     return F.when(n > 0, F.concat(F.lit(text + ": "), n.cast("string")))
 
 
-def gates(rows: DataFrame, catalog: dict[str, DataFrame] | None = None, entries: DataFrame | None = None, personnel: DataFrame | None = None, duplicate_pairs: DataFrame | None = None) -> DataFrame:
+def gates(rows: DataFrame, catalog: dict[str, DataFrame] | None = None, entries: DataFrame | None = None, personnel: DataFrame | None = None, duplicate_pairs: DataFrame | None = None, clusters: DataFrame | None = None) -> DataFrame:
     """``status, issues, warnings`` and the counts behind them (one row). Missing inputs become warnings."""
     named = rules()
     missing, invalid = named["track_position_missing"], named["track_position_invalid"]
@@ -166,6 +166,9 @@ def gates(rows: DataFrame, catalog: dict[str, DataFrame] | None = None, entries:
     else:
         one = one.join(duplicate_pairs.agg(F.count_if(F.col("relation_class") == "probable_cover_or_interpolation").alias("covers")))
         warnings.append(_message("Duplicate detector cross-artist probable cover/interpolation pairs", F.col("covers")))
+    if clusters is not None:
+        one = one.join(clusters_without_original(clusters).agg(F.count(F.lit(1)).alias("no_original")))
+        issues.append(_message("High-confidence duplicate clusters without an original", F.col("no_original")))
     some = lambda xs: F.filter(F.array(*xs), lambda x: x.isNotNull())
     out = one.withColumn("issues", some(issues)).withColumn("warnings", F.array_sort(F.array_distinct(some(warnings))))
     return out.withColumn("status", F.when(F.size("issues") == 0, "PASS").otherwise("FAIL"))

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from catloom.operators import catalog, consolidate, discover, duplicates, graph, quality  # noqa: F401
+from catloom import schema
+from catloom.operators import audit, catalog, consolidate, discover, duplicates, graph, quality  # noqa: F401
 from catloom.operators.components import connected_components
 from catloom.sources import cache, files
 
@@ -36,6 +37,16 @@ def test_seeds_and_order(spark):
     assert [r["n"] for r in catalog.in_order(spark.createDataFrame([("b", 1), ("A", 2)], "n string, _ord int"), "n").collect()] == ["A", "b"]
     clusters = spark.createDataFrame([("x", "high", None), ("y", "low", None), ("z", "high", 1)], "cluster_id string, cluster_confidence string, original int")
     assert [r["cluster_id"] for r in quality.clusters_without_original(clusters).collect()] == ["x"]
+    facts = spark.createDataFrame([], ", ".join(f"{c} string" for c in schema.FACT))
+    assert quality.gates(facts, clusters=clusters).first()["issues"] == ["High-confidence duplicate clusters without an original: 1"]
+
+
+def test_ranks_are_those_of_the_whole_order(spark):
+    rows = [(k * 7919 % 1000 // 10 / 10.0, k) for k in range(1000)]
+    df = spark.createDataFrame(rows, "priority_score double, row_number int").repartition(7)
+    made = {r["row_number"]: r["rank"] for r in audit.ranked(df, [F.desc("priority_score"), F.asc("row_number")], "rank").collect()}
+    assert made == {k: i for i, (_, k) in enumerate(sorted(rows, key=lambda r: (-r[0], r[1])), 1)}
+    assert audit.ranked(df.limit(0), [F.asc("row_number")], "rank").count() == 0
 
 
 def test_distributed_components_agree_with_the_local_ones(spark):
