@@ -53,3 +53,47 @@ def test_distributed_components_agree_with_the_local_ones(spark):
     edges = spark.createDataFrame([(0, k) for k in range(1, 80)] + [(100 + k, 101 + k) for k in range(30)], "a long, b long")
     here, there = (connected_components(edges, "a", "b", local_edges=n) for n in (10**6, 0))
     assert sorted(map(tuple, here.collect())) == sorted(map(tuple, there.collect()))
+
+
+def _split(monkeypatch):
+    """From now on a few rows make several parts; gives the numbers of parts."""
+    from catloom.runtime import Sliced
+
+    seen, before = [], Sliced.parts
+    monkeypatch.setattr(Sliced, "ROWS", 100)
+    monkeypatch.setattr(Sliced, "parts", lambda self, *others: seen.append(before(self, *others)) or seen[-1])
+    return seen
+
+
+def _oracle(name):
+    import os
+
+    import duckdb
+
+    from catloom.plans import catalogue
+
+    sf, db = "/root/testdata/sf0.001", duckdb.connect()
+    for f in os.listdir(sf):
+        db.execute(f"create view {f[:-8]} as select * from '{sf}/{f}'")
+    return catalogue.queries()[name], sf, db.execute(catalogue.oracle_sql()[name]).fetchdf()
+
+
+def _same(mine, theirs):
+    columns = sorted(theirs.columns)
+    rows = lambda d: sorted(tuple(map(str, r)) for r in d[columns].itertuples(index=False))
+    assert sorted(mine.columns) == columns and rows(mine) == rows(theirs)
+
+
+def test_canonicalise_in_parts(spark, monkeypatch):
+    query, sf, theirs = _oracle("canonicalise")
+    seen = _split(monkeypatch)
+    _same(query(spark, sf).toPandas(), theirs)
+    assert [sorted(sum(x, [])) for x in seen] == [list(range(16))] * 3 and all(len(x) == 16 for x in seen)
+
+
+def test_strip_takes_all_white_space(spark):
+    from catloom.functions import text
+
+    rows = [(chr(i) + "a" + chr(i) + "b" + chr(i) * 2,) for i in range(1, 0x3100)] + [("",), (" \n",), (None,)]
+    data = spark.createDataFrame(rows, "s string")
+    assert data.filter(text.strip("s") != F.regexp_replace(F.coalesce("s", F.lit("")), r"(?U)^\s+|\s+$", "")).count() == 0
