@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from catloom import schema
 from catloom.functions import ids, values
+from catloom.functions.text import lower_strip
+from catloom.runtime import Sliced
 
 EVENT = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("date", "round", "method", "result")]
@@ -43,16 +45,25 @@ def indexed(entries: DataFrame, order_col: str) -> DataFrame:
     """``(sig, prev)``: the best entry under every full and legacy signature."""
     prev = F.struct(*[F.col(c) for c in CARRIED])
     keyed = entries.select(F.explode(F.array_distinct(F.array(ids.signature(), ids.legacy_signature()))).alias("sig"), prev.alias("prev"), F.col(order_col).alias("o"))
-    longest = keyed.withColumn("n", F.size(history(F.col("prev.search_history"))))
-    top = longest.groupBy("sig").agg(F.max("n").alias("n"))
-    first = longest.join(top, ["sig", "n"]).groupBy("sig").agg(F.min_by("prev", "o").alias("prev"))
-    return first
+    longest = F.struct((-F.size(history(F.col("prev.search_history")))).alias("n"), "o")
+    return keyed.groupBy("sig").agg(F.min_by("prev", longest).alias("prev"))
 
 
 def reconcile(rows: DataFrame, entries: DataFrame, row_number: Column, order_col: str = "_ord") -> DataFrame:
-    """The new log entry of every row, with ``matched``."""
+    """The new log entry of every row, with ``matched``.
+
+    Both signatures of a row begin alike, so rows and entries are dealt by that beginning and meet part by part.
+    """
+    place = F.split_part(lower_strip("artist"), F.lit("|"), F.lit(1))
+    named = ["artist", "album_name", "song_name", *schema.SIGNATURE[3:]]
+    dealt = Sliced.of(rows.select(row_number.alias("row_number"), *named, "spotify_url", "youtube_url"), place)
+    log = Sliced.of(entries.select(order_col, *named, *CARRIED), place)
+    return dealt.each(lambda part, known: _reconciled(part, known, order_col), log)
+
+
+def _reconciled(rows: DataFrame, entries: DataFrame, order_col: str) -> DataFrame:
     index = indexed(entries, order_col)
-    keyed = rows.withColumn("__sig", ids.signature()).withColumn("__legacy", ids.legacy_signature()).withColumn("row_number", row_number)
+    keyed = rows.withColumn("__sig", ids.signature()).withColumn("__legacy", ids.legacy_signature())
     full = index.select(F.col("sig").alias("__sig"), F.col("prev").alias("__full"))
     legacy = index.select(F.col("sig").alias("__legacy"), F.col("prev").alias("__short"))
     joined = keyed.join(full, "__sig", "left").join(legacy, "__legacy", "left").withColumn("prev", F.coalesce("__full", "__short"))

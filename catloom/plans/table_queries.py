@@ -126,7 +126,7 @@ def log_entries(spark, sf_dir):
     """Prior log entries from events: some of full, some of legacy signature only."""
     events = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n"))
     rows = disc(spark, sf_dir).withColumn("k", _hex(1, 6) % 997)
-    known = rows.join(events, "k").withColumn("row_type", F.when(F.col("k") % 2 == 0, "").otherwise(F.col("row_type")))
+    known = rows.join(F.broadcast(events.filter("k < 997")), "k").withColumn("row_type", F.when(F.col("k") % 2 == 0, "").otherwise(F.col("row_type")))
     size = (F.col("k") % 4).cast("int")
     event = F.struct(F.lit("2024-01-01").alias("date"), F.lit("r").alias("round"), F.lit("m").alias("method"), F.lit("x").alias("result"), F.lit(None).cast("double").alias("score"),
                      F.lit(None).cast("string").alias("previous_url"), F.lit(None).cast("array<string>").alias("reason_codes"))

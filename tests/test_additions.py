@@ -91,6 +91,13 @@ def test_canonicalise_in_parts(spark, monkeypatch):
     assert [sorted(sum(x, [])) for x in seen] == [list(range(16))] * 3 and all(len(x) == 16 for x in seen)
 
 
+def test_reconcile_log_in_parts(spark, monkeypatch):
+    query, sf, theirs = _oracle("reconcile_log")
+    seen = _split(monkeypatch)
+    _same(query(spark, sf).toPandas(), theirs)
+    assert len(seen) == 1 and len(seen[0]) == 16 and sorted(sum(seen[0], [])) == list(range(16))
+
+
 def test_strip_takes_all_white_space(spark):
     from catloom.functions import text
 
