@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.runtime import stored
+from catloom.runtime import short_shuffles, stored
 
 WINDOW = 13
 BLOCK = 7
@@ -267,8 +267,8 @@ def _replies(batches: Iterator[pa.RecordBatch], table, answer) -> Iterator[pa.Re
 
 def _exchange(emitted: DataFrame, table, answer, purpose: str) -> DataFrame:
     dealt = emitted.repartition("bucket").sortWithinPartitions("bucket", "kind")
-    replies = stored(dealt.mapInArrow(lambda batches: _replies(batches, table, answer), "chunk long, bucket int, found binary"), purpose)
-    return replies
+    with short_shuffles(emitted.sparkSession):  # what one step sent must not lie beside what the next one sends
+        return stored(dealt.mapInArrow(lambda batches: _replies(batches, table, answer), "chunk long, bucket int, found binary"), purpose)
 
 
 def _grouped(replies: DataFrame) -> DataFrame:
