@@ -121,3 +121,37 @@ def test_repeats_leave_no_shuffle_files_between_steps(spark):
     left = _shuffle_files(spark) - before
     assert len({name.split("_")[1] for name in left}) <= 1, left  # only of the one sum of the texts' sizes
     assert sum(r["n_removed"] for r in lazy.collect()) == 49 * 40
+
+
+def test_duplicate_classes_count_all_pairs(spark):
+    import random
+
+    from catloom.operators import duplicate_classes
+    from tests.test_operators import BASE, entry_rows
+
+    rng, words = random.Random(7), "amber stone river light night paper garden window".split()
+    rows = []
+    for k in range(90):
+        title = " ".join(rng.sample(words, rng.choice([1, 1, 2, 2, 3, 4])))
+        title += rng.choice(["", "", " / Second Long Piece", " / Second Long Piece", " / Other Fine Work / Second Long Piece", " / The Of", "s"])
+        rows.append(BASE | {
+            "song_name": title, "artist": rng.choice(["A", "a ", "B"]), "version_type": rng.choice(["same_master", "same_master", "", "unknown"]),
+            "source_release_id": rng.choice(["", "", "", "r1"]), "spotify_url": rng.choice(["", "", "", "https://open.spotify.com/x"]), "release_category": rng.choice(["original", "compilation"]),
+        })
+    items = duplicates.entries(entry_rows(spark, rows))
+    pairs = duplicates.pairs(items)
+    plain = lambda df: sorted(map(str, df.collect()))
+    assert plain(duplicate_classes.counts(items, hub=5)) == plain(duplicates.counts(pairs))
+    assert plain(duplicate_classes.clusters(items, hub=5)) == plain(duplicates.clusters(items, pairs))
+
+
+def test_titles_that_share_a_frequent_part_are_not_listed_in_pairs(spark):
+    from catloom.operators import duplicate_classes
+    from tests.test_operators import BASE, entry_rows
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda k: " ".join(letters[(k * 7 + j * j * (k + 3)) % 26] * (3 + j) for j in range(6)) + f" q{k}"
+    items = duplicates.entries(entry_rows(spark, [BASE | {"song_name": f"{name(k)} / Second Long Piece", "artist": f"A{k % 3}"} for k in range(60)]))
+    assert duplicate_classes.Classes(items, hub=20).listed().count() < 60 * 59 / 2 / 4
+    found = {(r["kind"], r["value"]): r["pairs"] for r in duplicate_classes.counts(items, hub=20).collect()}
+    assert found["match_type", "component_overlap"] == 60 * 59 / 2
