@@ -155,3 +155,21 @@ def test_titles_that_share_a_frequent_part_are_not_listed_in_pairs(spark):
     assert duplicate_classes.Classes(items, hub=20).listed().count() < 60 * 59 / 2 / 4
     found = {(r["kind"], r["value"]): r["pairs"] for r in duplicate_classes.counts(items, hub=20).collect()}
     assert found["match_type", "component_overlap"] == 60 * 59 / 2
+
+
+def test_similar_pairs_in_slices_leave_no_windows(spark, monkeypatch):
+    from difflib import SequenceMatcher
+    from pathlib import Path
+
+    from catloom import runtime
+    from catloom.operators import blocking
+    from tests.test_operators import similar_texts
+
+    monkeypatch.setattr(blocking, "SLICE_CHARS", 500, raising=False)
+    texts = list(dict.fromkeys(similar_texts()))
+    df = spark.createDataFrame([(t,) for t in texts], "a string")
+    root = Path(runtime.checkpoint_root(spark).removeprefix("file://"))
+    before = set(root.glob("windows-*"))
+    found = {(r["a"], r["b"]) for r in blocking.similar_pairs(df, df.toDF("b"), "a", "b", 0.85).collect()}
+    assert found == {(a, b) for a in texts for b in texts if SequenceMatcher(None, a, b).ratio() >= 0.85}
+    assert set(root.glob("windows-*")) == before
