@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from catloom.llm import exact_dedup, html_text, langid, mixing, packing, quality_rules, simhash, spelling, substring, url_filter, warc
+from catloom.llm import exact_dedup, html_text, langid, mixing, neighbours, packing, quality_rules, simhash, spelling, substring, url_filter, warc
 from catloom.runtime import table
 
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -63,6 +63,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -72,7 +76,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [op1_pack, op2_quality, op3_urls, op4_language, op5_warc, op6_substring, op7_simhash, op8_mix, op9_exact, op10_main_text, op13_spelling, pipeline]
+    found = [op1_pack, op2_quality, op3_urls, op4_language, op5_warc, op6_substring, op7_simhash, op8_mix, op9_exact, op10_main_text, op11_neighbours, op13_spelling, pipeline]
     return {f.__name__: f for f in found}
 
 
