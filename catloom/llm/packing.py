@@ -59,15 +59,17 @@ BYTE_LETTERS = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if
 
 class Encoder(dict):
     """Text to little-endian ids of a ``tokenizers`` file at its default setting: the strings of its added tokens give their
-    ids. Word pieces of Latin-1 texts are cached, other texts are encoded whole.
+    ids, unless ``special`` is off: then they are plain text. Word pieces of Latin-1 texts are cached, other texts are encoded
+    whole.
 
     One per Python worker, kept between tasks; the cache is emptied when it holds ``CACHE_ENTRIES``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = not special
         self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as handle:
             file = json.load(handle)
@@ -75,7 +77,7 @@ class Encoder(dict):
         # the cached path knows this pre-tokeniser and plain added tokens; anything else is left to the library
         plain = file["normalizer"] is None and file["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
         plain &= not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
-        self.added = {t["content"]: array.array("I", [t["id"]]).tobytes() for t in added}
+        self.added = {t["content"]: array.array("I", [t["id"]]).tobytes() for t in added if special}
         split = "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True))
         self.split = re.compile(f"({split})").split if self.added else lambda text: [text]
         self.cached = plain

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from catloom.llm import exact_dedup, html_text, langid, mixing, neighbours, packing, quality_rules, simhash, spelling, substring, url_filter, warc
+from catloom.llm import alignment, exact_dedup, html_text, langid, mixing, neighbours, packing, quality_rules, simhash, spelling, substring, url_filter, warc
 from catloom.runtime import table
 
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
@@ -67,6 +67,10 @@ def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -76,7 +80,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    found = [op1_pack, op2_quality, op3_urls, op4_language, op5_warc, op6_substring, op7_simhash, op8_mix, op9_exact, op10_main_text, op11_neighbours, op13_spelling, pipeline]
+    found = [op1_pack, op2_quality, op3_urls, op4_language, op5_warc, op6_substring, op7_simhash, op8_mix, op9_exact, op10_main_text, op11_neighbours, op12_alignment, op13_spelling, pipeline]
     return {f.__name__: f for f in found}
 
 
@@ -121,9 +125,40 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
+_OP13 = """
+WITH RECURSIVE steps(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc AS (SELECT list(c ORDER BY i) AS crc FROM steps WHERE k = 8),
+found AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+runs AS (
+  SELECT doc_id, run, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS spelled, count(*) AS n
+  FROM (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM found WHERE length(run) >= 6) GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(spelled) // 2), lambda j: ('0x' || substr(spelled, CAST(2 * j + 1 AS INT), 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1]))) AS h FROM runs, crc
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cut AS (SELECT word, n, i, substr(word, 1, CAST(i AS INT)) || substr(word, CAST(i AS INT) + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)),
+shorter AS (SELECT DISTINCT c.word, c.n, w.word AS other, w.n AS m FROM cut c JOIN words w ON c.rest = w.word),
+near AS (
+  SELECT c.word, d.word AS other, d.n AS m FROM cut c JOIN cut d ON c.rest = d.rest AND c.i = d.i AND c.word <> d.word
+  UNION ALL SELECT word, other, m FROM shorter UNION ALL SELECT other, word, n FROM shorter
+), ranked AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS r FROM near),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * w.n THEN other END AS form, CASE WHEN m >= 5 * w.n THEN m END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.r = 1
+), walk(word, last) AS (
+  SELECT word, word FROM formed UNION ALL SELECT walk.word, f.form FROM walk JOIN formed f ON f.word = walk.last WHERE f.form IS NOT NULL
+), ends AS (SELECT walk.word, walk.last AS root FROM walk JOIN formed f ON f.word = walk.last WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e USING (word)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op3_urls": _OP3, "op5_warc": _OP5, "op6_substring": _OP6, "op9_exact": _OP9}
+    found = {"op3_urls": _OP3, "op5_warc": _OP5, "op6_substring": _OP6, "op9_exact": _OP9, "op13_spelling": _OP13}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
