@@ -1,19 +1,21 @@
 """Quality rules whose cutoffs carry a guarantee; DataFrame functions only.
 
-Every document gets four rule values. For each stratum, rule and cutoff of a fixed grid, the labelled good
-documents of the stratum are a binomial sample of false rejections. A cutoff is *certified* if the exact binomial
-tail says that a false-rejection rate above its share of ``ALPHA`` would show as few rejections with a probability of at most
-``DELTA`` divided by the number of tests (strata x rules x cutoffs: Bonferroni). Each rule then rejects at its
-most selective certified cutoff; a rule without one rejects nothing. A cutoff is certified at ``ALPHA`` divided by the
-number of rules, so with probability ``1 - DELTA`` the rules of a stratum together reject no more than ``ALPHA`` of its
-good documents, in every stratum.
+Every document gets four rule values. The rules tighten together along a path of ``STEPS`` steps: at each step every rule
+has one cutoff of a fixed grid, from the laxest to the strictest, and a document is rejected if any of its values is above
+its rule's cutoff, so each step rejects what the one before does and more. For each stratum the labelled good documents are a
+binomial sample of false rejections by all rules together. A step is *certified* if the exact binomial tail says that a false-rejection
+rate above ``ALPHA`` would show as few rejections with a probability of at most the stratum's share of ``DELTA``, and all steps
+before it are certified (fixed-sequence testing: the steps of a stratum need no price each). Over strata the correction is
+Holm's: each has an equal share, and strata that are certified to the end leave theirs to the others. So with probability
+``1 - DELTA`` the rules reject no more than ``ALPHA`` of the good documents of any stratum. A stratum without a certified step
+rejects nothing; with no rejected sample at all it takes ``log(DELTA / strata) / log(1 - ALPHA)`` good labels to certify one.
 
 The stratum is the language. Cutoffs depend on labelled rows alone and are counted over all of them; the tail is
 summed natively, term by term in logarithms.
 
 Defined results: a null text is the empty text (no words); a null stratum is a stratum of its own; labels that
 are repeated count once, a document labelled both good and bad is not good, labels of unknown documents do not count;
-windows are compared by 64-bit hashes of word hashes; without labels no rule is certified and
+windows are compared by 64-bit hashes of word hashes; without labels no step is certified and
 only the base rules reject; an empty table gives an empty result. Values are per row, so equal rows, ties and
 extra columns need nothing special.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from catloom.runtime import cut
 
@@ -38,6 +41,7 @@ GRIDS = {
     "repeat_ratio": [2, 4, 6, 8, 10, 12, 15, 20, 25, 28],  # repeated words per 100 words
     "upper_ratio": [2, 4, 6, 8, 10, 15, 20, 30, 50, 80],  # capital letters A-Z per 100 code points of words
 }
+STEPS = 10
 
 
 def words_of(text: Column) -> Column:
@@ -115,32 +119,45 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k > n * p, F.lit(1.0)).when(k == 0, F.exp(first)).otherwise(F.least(total, F.lit(1.0)))
 
 
-def certified_cutoffs(feats: DataFrame, good: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``stratum`` and one column per rule: its certified cutoff, null if none. ``good``: a row per good label."""
-    sample = feats.filter("not base_failed").join(good.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id")
+def exceeded() -> dict[str, Column]:
+    """Per rule how many cutoffs of its grid the value is above."""
     values = rule_values()
-    # one partial aggregation: per stratum a count for every rule and cutoff
-    counts = [F.count_if(values[r] > c).alias(f"{r}__{i}") for r, grid in GRIDS.items() for i, c in enumerate(grid)]
-    per = cut(sample.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *counts))
-    level = F.lit(delta / (sum(map(len, GRIDS.values())) * max(1, per.count())))
-    best = []
-    for rule, grid in GRIDS.items():
-        passed = [F.when(binomial_tail(F.col("n"), F.col(f"{rule}__{i}"), alpha / len(GRIDS)) <= level, F.lit(float(c))) for i, c in enumerate(grid)]
-        best.append(F.least(*passed).alias(rule))
-    return per.select("stratum", F.col("n").alias("n_good"), *best)
+    return {rule: sum((F.when(values[rule] > c, 1).otherwise(0) for c in grid), F.lit(0)) for rule, grid in GRIDS.items()}
+
+
+def certified_steps(feats: DataFrame, good: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """``stratum, n_good, certified``: how many steps of the path are certified. ``good``: a row per good label."""
+    sample = feats.filter("not base_failed").join(good.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id")
+    above = F.greatest(*exceeded().values())
+    # step s, from 0, rejects what is above STEPS - s cutoffs of some rule; one partial aggregation counts them all
+    counts = [F.count_if(above >= STEPS - s).alias(f"gone{s}") for s in range(STEPS)]
+    per = cut(sample.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *counts))
+    tails = F.array(*[binomial_tail(F.col("n_good"), F.col(f"gone{s}"), alpha) for s in range(STEPS)])
+    per = per.select("stratum", "n_good", tails.alias("tails")).withColumn("worst", F.array_max("tails"))
+    # Holm over strata, a row each: those certified to the end, in order of their worst tail, leave their share
+    strata = per.count()
+    order = Window.orderBy("worst", "stratum")
+    ranked = per.withColumn("place", F.row_number().over(order) - 1)
+    ended = ranked.filter(F.col("worst") > delta / (F.lit(strata) - F.col("place"))).agg(F.min("place").alias("complete"))
+    share = F.when(F.col("complete").isNull(), F.lit(delta)).otherwise(delta / (F.lit(strata) - F.col("complete")))
+    level = F.when(F.col("complete").isNull() | (F.col("place") < F.col("complete")), F.lit(1.0)).otherwise(share)
+    failed = F.array_position(F.transform("tails", lambda p: p > F.col("level")), True)
+    steps = F.when(failed == 0, F.lit(STEPS)).otherwise(failed - 1)
+    return ranked.join(F.broadcast(ended)).withColumn("level", level).select("stratum", "n_good", steps.cast("int").alias("certified"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """Every document with its counts, ``base_failed``, ``kept`` and the first rule that rejects it (``reason``).
+    """Every document with its counts, ``base_failed``, ``kept``, the first rule that rejects it (``reason``) and its stratum's
+    ``certified`` steps.
 
     ``labels``: ``doc_id`` and ``quality`` (1 is good), as they stand; other columns are not read.
     """
     feats = cut(features(docs, id_col, text_col, stratum_col))
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("least"), F.max("quality").alias("most")).filter("least = 1 and most = 1").select("doc_id")
-    cutoffs = cut(certified_cutoffs(feats, good, alpha, delta).toDF("stratum", "n_good", *[f"cut_{r}" for r in GRIDS]))
-    strata = cutoffs.count()
-    side = F.broadcast(cutoffs) if strata <= 10_000 else cutoffs
+    steps = cut(certified_steps(feats, good, alpha, delta))
+    side = F.broadcast(steps) if steps.count() <= 10_000 else steps
     joined = feats.join(side.withColumnRenamed("stratum", "cut_stratum"), F.col("stratum").eqNullSafe(F.col("cut_stratum")), "left")
-    over = [F.when(value > F.col(f"cut_{rule}"), F.lit(rule)) for rule, value in rule_values().items()]
+    joined = joined.withColumn("certified", F.coalesce("certified", F.lit(0)))
+    over = [F.when((F.col("certified") > 0) & (above >= STEPS + 1 - F.col("certified")), F.lit(rule)) for rule, above in exceeded().items()]
     reason = F.when(F.col("base_failed"), F.lit("base")).otherwise(F.coalesce(*over))
     return joined.withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).drop("cut_stratum")

@@ -156,9 +156,72 @@ formed AS (
 SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e USING (word)
 """
 
+_OP2 = r"""
+WITH RECURSIVE grids(rule, k, grid) AS (
+  VALUES ('symbol_ratio', 1, [0.5, 1, 2, 3, 5, 8, 12, 20, 30, 50]::DOUBLE[]), ('dup_line_ratio', 2, [5, 10, 15, 20, 25, 30, 40, 50, 60, 80]::DOUBLE[]),
+         ('repeat_ratio', 3, [2, 4, 6, 8, 10, 12, 15, 20, 25, 28]::DOUBLE[]), ('upper_ratio', 4, [2, 4, 6, 8, 10, 15, 20, 30, 50, 80]::DOUBLE[])
+), base AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM base WHERE len(words) >= 8)
+), twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(0, 8) r(k) GROUP BY doc_id),
+counts AS (
+  SELECT b.doc_id, lang AS stratum, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+         (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')))::BIGINT AS n_upper
+  FROM base b LEFT JOIN repeated r USING (doc_id)
+), feats AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+    [CASE WHEN n_words > 0 THEN 100.0::DOUBLE * n_symbols / n_words ELSE 0 END, CASE WHEN n_lines > 0 THEN 100.0::DOUBLE * n_dup_lines / n_lines ELSE 0 END,
+     CASE WHEN n_words > 0 THEN 100.0::DOUBLE * n_repeat_words / n_words ELSE 0 END, CASE WHEN word_chars > 0 THEN 100.0::DOUBLE * n_upper / word_chars ELSE 0 END] AS v FROM counts
+), above AS (
+  SELECT doc_id, list(len(list_filter(grid, lambda c: v[k] > c)) ORDER BY k) AS above FROM feats, grids GROUP BY doc_id
+), good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1 AND max(quality) = 1),
+sample AS (SELECT stratum, list_max(above) AS most FROM feats JOIN above USING (doc_id) JOIN good USING (doc_id) WHERE NOT base_failed),
+per AS (SELECT stratum, step, count(*) AS n, count(*) FILTER (most >= 10 - step) AS k FROM sample, range(10) s(step) GROUP BY stratum, step),
+tails(stratum, step, n, k, j, term, total) AS (
+  SELECT stratum, step, n, k, 0, n * ln(0.98::DOUBLE), exp(n * ln(0.98::DOUBLE)) FROM per
+  UNION ALL SELECT stratum, step, n, k, j + 1, term + ln((n - j)::DOUBLE / (j + 1) * (0.02::DOUBLE / 0.98)), total + exp(term + ln((n - j)::DOUBLE / (j + 1) * (0.02::DOUBLE / 0.98))) FROM tails WHERE j < k AND k <= n * 0.02::DOUBLE
+), p AS (SELECT stratum, step, CASE WHEN k > n * 0.02::DOUBLE THEN 1.0 ELSE least(max(total), 1.0) END AS p FROM tails GROUP BY stratum, step, n, k),
+worst AS (SELECT stratum, max(p) AS worst FROM p GROUP BY stratum),
+ranked AS (SELECT *, row_number() OVER (ORDER BY worst, stratum NULLS FIRST) - 1 AS place, count(*) OVER () AS strata FROM worst),
+ended AS (SELECT min(place) AS complete FROM ranked WHERE worst > 0.05::DOUBLE / (strata - place)),
+levels AS (SELECT stratum, CASE WHEN complete IS NULL OR place < complete THEN 1.0::DOUBLE ELSE 0.05::DOUBLE / (strata - complete) END AS level FROM ranked, ended),
+steps AS (SELECT p.stratum, coalesce(min(step) FILTER (p > level), 10) AS certified FROM p JOIN levels l ON p.stratum IS NOT DISTINCT FROM l.stratum GROUP BY p.stratum),
+judged AS (
+  SELECT f.*, CASE WHEN base_failed THEN 'base' ELSE
+    (SELECT min_by(rule, k) FROM grids WHERE coalesce(certified, 0) > 0 AND above[k] >= 11 - certified) END AS reason
+  FROM feats f JOIN above USING (doc_id) LEFT JOIN steps s ON f.stratum IS NOT DISTINCT FROM s.stratum
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, reason IS NULL AS kept, reason FROM judged
+"""
+
+_OP8 = """
+WITH RECURSIVE sized AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+raw AS (SELECT source, CASE WHEN source = 'src0' THEN 38 WHEN regexp_full_match(source, 'src([1-9]|1[0-9])') THEN 18 ELSE 19 END AS w FROM sized),
+whole AS (SELECT list(source ORDER BY source NULLS FIRST) AS names, list(w ORDER BY source NULLS FIRST) AS ws, list_reduce(list(w), lambda a, b: gcd(a, b)) AS g FROM raw),
+shares AS (SELECT names, list_transform(ws, lambda w: w // g) AS q, list_sum(ws)::BIGINT // g AS period FROM whole),
+slots(t, done, pick) AS (
+  SELECT -1, list_transform(q, lambda x: 0), 0 FROM shares
+  UNION ALL SELECT t + 1, list_transform(done, lambda k, i: CASE WHEN i = pick THEN k + 1 ELSE k END), pick FROM (
+    SELECT t, done, list_position(due, list_min(due)) AS pick FROM (
+      SELECT t, done, list_transform(q, lambda x, i: CASE WHEN done[i] < x AND done[i] * period // x <= t + 1 THEN ((done[i] + 1) * period + x - 1) // x ELSE 1099511627776 END) AS due
+      FROM slots, shares WHERE t + 1 < period))
+), pattern AS (
+  SELECT names[pick] AS source, q[pick] AS q, period, t AS in_period, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS j FROM slots, shares WHERE t >= 0
+), ranked AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS rank FROM documents),
+blocks AS (SELECT doc_id, source, rank // 16 AS block, rank % 16 AS place FROM ranked)
+SELECT doc_id, b.source, block, (block // q) * period + j * period // q AS release, (block // q) * period + ((j + 1) * period + q - 1) // q AS deadline,
+  (block // q) * period + in_period AS slot, place::INT AS place
+FROM blocks b JOIN pattern p ON b.source IS NOT DISTINCT FROM p.source AND block % q = j
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op3_urls": _OP3, "op5_warc": _OP5, "op6_substring": _OP6, "op9_exact": _OP9, "op13_spelling": _OP13}
+    found = {"op2_quality": _OP2, "op8_mix": _OP8, "op3_urls": _OP3, "op5_warc": _OP5, "op6_substring": _OP6, "op9_exact": _OP9, "op13_spelling": _OP13}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
