@@ -7,7 +7,8 @@ decompressed frame; the manifest maps record ids to these addresses.
 
 Payload digests are computed JVM-side. Of equal payloads of at least ``min_bytes`` bytes the record with the
 smallest id is the response, the others are revisits that point to it; the smallest id per digest is found by a
-map-side combined aggregate; payloads stay where they are unless the revisits are too many to broadcast.
+map-side combined aggregate; digests that make up more than a ``HOT``-th of all repeats are looked up by a broadcast, the others by a
+shuffle, so no task gets all records of one payload. Payloads stay where they are unless the revisits are too many to broadcast.
 
 Bundles go to the shared folder under a name of their own for every task attempt; only the attempt whose manifest
 rows are committed counts, so lost executors and retries leave unused files, never wrong ones.
@@ -33,12 +34,13 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catloom.runtime import cut, shared_path, stored
+from catloom.runtime import cut, shared_path, spread, stored
 
 FRAME_BYTES = 1 << 18
 MIN_BYTES = 0
 #: Revisits (about 40 bytes) that are broadcast at most.
 BROADCAST_KEYS = 500_000
+HOT = 1024
 # Fixed values of the seekable Zstandard format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 READ = "record_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -156,10 +158,13 @@ def with_references(pages: DataFrame, id_col: str = "page_id", url_col: str = "u
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     base = pages.select(F.col(id_col).cast("long").alias("record_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     narrow = base.select("record_id", F.unhex(F.sha1("payload")).alias("digest"), F.octet_length("payload").alias("bytes"))
-    first = narrow.filter(F.col("bytes") >= min_bytes).groupBy("digest").agg(F.min("record_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    revisits = (
-        narrow.filter(F.col("bytes") >= min_bytes).join(first, "digest").filter("not record_id <=> first").select("record_id", F.col("first").alias("refers_to"), "digest")
-    )
+    large = narrow.filter(F.col("bytes") >= min_bytes)
+    first = cut(large.groupBy("digest").agg(F.min("record_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # payloads of more than a HOT-th of all records that repeat, so at most HOT, are looked up in place
+    floor = (first.agg(F.sum("n")).first()[0] or 0) // HOT
+    hot = F.broadcast(first.filter(F.col("n") > max(floor, 2)).drop("n"))
+    rest = large.join(hot.select("digest"), "digest", "left_anti").join(first.drop("n"), "digest")
+    revisits = large.join(hot, "digest").unionByName(rest).filter("not record_id <=> first").select("record_id", F.col("first").alias("refers_to"), "digest")
     keyed = base.withColumn("digest", F.unhex(F.sha1("payload")))
     # few revisits are looked up in place; many make the payloads move once
     revisits = cut(revisits.distinct().withColumnsRenamed({"record_id": "i", "digest": "d"}))
@@ -215,7 +220,7 @@ def read_bundles(spark: SparkSession, folder: str, manifest: DataFrame) -> DataF
                 types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=READ_NAMES)
 
-    return frames.select("bundle", "frame").repartition("bundle", "frame").mapInArrow(run, READ)
+    return spread(frames.select("bundle", "frame"), "bundle", "frame").mapInArrow(run, READ)
 
 
 def fetch(folder: str, row: dict) -> tuple[dict[str, str], bytes]:
