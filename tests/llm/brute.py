@@ -97,3 +97,42 @@ def later_near_copies(rows):
     sets = {i: shingle_set(t) for i, t in rows}
     label = components(sets, lambda a, b: 5 * len(a & b) >= 4 * len(a | b))
     return {i for i, low in label.items() if i != low}
+
+
+def main_text(blocks, begin, end):
+    """Main text of a page of (kind, text) blocks, those from begin to end in an article; and how many blocks are outside its region."""
+    import math
+
+    n = len(blocks)
+    article = [begin <= i < end for i in range(n)]
+    linked = [k == "links" for k, _ in blocks]
+    # a block's own tags, and those of the body and the article that stand before it
+    tags = [(4 if linked[i] else 2) + (i == 0) + (i == begin) + (i == end) for i in range(n)]
+    sizes = [0 if linked[i] else len(t) for i, (_, t) in enumerate(blocks)]
+    ratio = [math.log(1 + s / t) for s, t in zip(sizes, tags)]
+    kernel = {d: math.exp(-0.5 * d * d) for d in range(-3, 4)}
+    level = [sum(kernel[d] * ratio[i + d] for d in kernel if 0 <= i + d < n) / sum(kernel[d] for d in kernel if 0 <= i + d < n) for i in range(n)]
+    mean = lambda x: sum(x) / len(x)
+    threshold = mean(level)
+    for _ in range(50):
+        high, low = [x for x in level if x >= threshold], [x for x in level if x < threshold]
+        if not high or not low or abs((mean(high) + mean(low)) / 2 - threshold) < 1e-9:
+            break
+        threshold = (mean(high) + mean(low)) / 2
+    high, low = [x for x in level if x >= threshold], [x for x in level if x < threshold]
+    if low and mean(high) - mean(low) >= 1.5:
+        on = [level[i] >= threshold or ratio[i] >= threshold for i in range(n)]
+    else:
+        on = [not x for x in linked] if not all(linked) else [True] * n
+    held = sum(s for s, o, a in zip(sizes, on, article) if o and a)
+    trusted = any(article) and 2 * held >= sum(s for s, o in zip(sizes, on) if o)
+    whole = trusted and any(o and a for o, a in zip(on, article))
+    inside = [i for i in range(n) if on[i] or (whole and article[i])]
+    first, last = inside[0], inside[-1]
+    joins = [not linked[i] and (article[i] or not trusted) for i in range(n)]
+    while first and (blocks[first - 1][0] == "h2" or joins[first - 1]):
+        first -= 1
+    while last + 1 < n and joins[last + 1]:
+        last += 1
+    kept = [t for k, t in blocks[first : last + 1] if k not in ("footer", "ad")]
+    return "\n".join(kept), n - (last + 1 - first)

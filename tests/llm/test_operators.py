@@ -1,6 +1,7 @@
 """Operators of training text against plain versions, on small tables with awkward rows."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -193,18 +194,21 @@ def test_verdicts_follow_from_counts(spark):
         lines = [x for x in t.split("\n") if x.strip(quality_rules.SPACE)]
         upper = sum("A" <= ch <= "Z" for ch in t)
         values[i] = dict(symbol_ratio=ratio(c["n_symbols"], c["n_words"]), dup_line_ratio=ratio(c["n_dup_lines"], len(lines)), repeat_ratio=ratio(c["n_repeat_words"], c["n_words"]), upper_ratio=ratio(upper, c["word_chars"]), failed=c["base_failed"])
-    share, level = quality_rules.ALPHA / 4, quality_rules.DELTA / (40 * 2)
-    rejected = set()
-    for lang in ("xx", "yy"):
-        mine = [i for i, _, x in texts if x == lang]
-        sample = [values[i] for i in mine if good[i] and not values[i]["failed"]]
-        for rule, grid in quality_rules.GRIDS.items():
-            for cutoff in grid:
-                n, k = len(sample), sum(v[rule] > cutoff for v in sample)
-                if k <= n * share and sum(comb(n, j) * share**j * (1 - share) ** (n - j) for j in range(k + 1)) <= level:
-                    rejected |= {i for i in mine if values[i][rule] > cutoff}
-                    break
+    tail = lambda n, k, p: 1.0 if k > n * p else sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1))
+    path = [{r: grid[9 - step] for r, grid in quality_rules.GRIDS.items()} for step in range(10)]
+    hit = lambda i, step: any(values[i][r] > c for r, c in path[step].items())
+    depth, share = {}, {"xx": quality_rules.DELTA / 2, "yy": quality_rules.DELTA / 2}
+    for _ in range(2):  # a stratum that is certified to the end hands on its share
+        for lang in share:
+            sample = [i for i, _, x in texts if x == lang and good[i] and not values[i]["failed"]]
+            depth[lang] = 0
+            while depth[lang] < 10 and tail(len(sample), sum(hit(i, depth[lang]) for i in sample), quality_rules.ALPHA) <= share[lang]:
+                depth[lang] += 1
+        if list(depth.values()).count(10) == 1:
+            share = {x: quality_rules.DELTA for x in share}
+    rejected = {i for i, _, x in texts if depth[x] and hit(i, depth[x] - 1)}
     assert rejected and {i for i, r in out.items() if r["kept"]} == {i for i, _, _ in texts} - rejected - {i for i in values if values[i]["failed"]}
+    assert {r["stratum"]: r["certified"] for r in out.values()} == depth
 
 
 def test_binomial_tail_is_exact(spark):
@@ -226,6 +230,16 @@ def test_certified_cutoffs_bound_false_rejection(spark):
     assert 0 < out["gone"] <= quality_rules.ALPHA * out["n"]
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the test tables")
+def test_false_rejection_on_labels_that_were_not_used(spark):
+    """Half of the labels certify, the other half measures."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    half = F.xxhash64("doc_id") % 2 == 0
+    out = quality_rules.judge(docs, labels.filter(half)).join(labels.filter(~half & (F.col("quality") == 1)).select("doc_id"), "doc_id")
+    per = out.filter("not base_failed").groupBy("stratum").agg(F.max("certified").alias("certified"), F.count_if(~F.col("kept")).alias("gone"), F.count(F.lit(1)).alias("n")).collect()
+    assert all(r["gone"] <= 2 * quality_rules.ALPHA * r["n"] + 3 for r in per) and any(r["certified"] for r in per)
+
+
 def test_url_rules(spark):
     rules = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
     cases = {
@@ -359,6 +373,51 @@ def test_marked_elements_are_weighed():
     assert more in html_text.main_text(f"<body><article>{plain}</article><p>{more}</p></body>").split("\n")
 
 
+def test_longer_names_say_nothing():
+    page = '<article><p>One.</p><div class="comment-body">two two</div><div class="share-price">three</div><section class="related-work">four</section></article>'
+    assert html_text.main_text(page) == "One.\ntwo two\nthree\nfour"
+    page = '<article><p>One <span class="x ad">buy</span>two.</p><div id="comments"><p>me</p></div><div role="search">find</div><p>three</p></article>'
+    assert html_text.main_text(page) == "One two.\nthree"
+
+
+def test_main_text_agrees_with_a_plain_version():
+    rng, decided = random.Random(21), 0
+    for _ in range(300):
+        kinds = [rng.choice(["p", "p", "p", "links", "footer", "ad", "h2"]) for _ in range(rng.randint(1, 14))]
+        blocks = [(k, " ".join("w" * rng.randint(1, 9) for _ in range(rng.choice([1, 2, 8, 40, 90]) if k == "p" else rng.randint(1, 5)))) for k in kinds]
+        begin = rng.randint(0, len(blocks)) if rng.random() < 0.7 else len(blocks)
+        end = rng.randint(begin, len(blocks))
+        spell = {"p": "<p>{}</p>", "links": "<p><a href=x>{}</a></p>", "footer": "<footer>{}</footer>", "ad": "<div class=ad>{}</div>", "h2": "<h2>{}</h2>"}
+        made = [spell[k].format(t) for k, t in blocks]
+        page = "<body>" + "".join(made[:begin]) + "<article>" + "".join(made[begin:end]) + "</article>" + "".join(made[end:]) + "</body>"
+        wanted, left = brute.main_text(blocks, begin, end)
+        assert html_text.main_text(page) == wanted, page
+        decided += left
+    assert decided > 100  # lines that only ratio, smoothing and clusters leave out
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the test tables")
+def test_the_ratio_decides_on_the_given_pages():
+    import pyarrow.parquet as pq
+
+    for html in pq.read_table("/root/testdata/sf0.001/pages.parquet")["html"].to_pylist():
+        lines = html_text.lines_of(html)
+        first, last = html_text.content_region(lines)
+        assert len(lines) - (last + 1 - first) >= 3
+
+
+def test_deep_and_long_pages_take_linear_time():
+    import time
+
+    took = []
+    for n in (4000, 16000):
+        page = "<div><b>" * n + f"<p>{'word ' * 30}</i>x</p>" * n
+        started = time.time()
+        assert html_text.main_text(page).count("\n") == n - 1
+        took.append(time.time() - started)
+    assert took[1] < 12 * took[0] + 1
+
+
 def test_extract_rows(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>"), (None, None, None), (1, "u", "<p>a</p>")], "page_id long, url string, html string").withColumn("text", F.lit("x"))
     assert Counter(map(tuple, html_text.extract(df).collect())) == Counter({(1, "u", "a"): 2, (None, None, ""): 1})
