@@ -8,8 +8,8 @@ The same small groups make up nearly all of a corpus, so groups are interned:
 
 1. Each task tokenises its documents and keeps a dictionary of the groups it meets; a document becomes a list of group keys
    with frequencies, the dictionary a row per group with the number of documents. Both are written once.
-2. Dictionary rows of all tasks are summed by key. Keys are 64-bit hashes; a key that stands for two groups raises an
-   error, as another seed would have to be taken.
+2. Dictionary rows of all tasks are summed by key. The key of a group of one token each is its two ids; of others it is a hash, and
+   a hash that stands for two groups raises an error, as another seed would have to be taken.
 3. Links are expanded once per distinct group, not per document. A pair's count is the documents of its groups summed, less what
    documents with several of its groups counted twice; tasks state that excess, document by document.
 4. Each group sums, over its links, the counts and the links whose count is the highest of their A id. These sums go back by
@@ -95,84 +95,131 @@ def aligner(a: str, b: str) -> Aligner:
     return _aligners[a, b]
 
 
+class _Spelled(dict):
+    """Key of a group to its spelling; a group of one token each has the key ``A id << 32 | B id``, others a negative hash."""
+
+    def __missing__(self, key: int) -> bytes:
+        if len(self) >= TABLE:
+            self.clear()
+        spelled = self[key] = b"%d|%d" % (key >> 32, key & 0xFFFFFFFF)
+        return spelled
+
+
+def _ids(spelled: bytes) -> list[list[int]]:
+    return [list(map(int, side.split(b","))) for side in spelled.split(b"|")]
+
+
+class _Task:
+    """What a task has gathered since it last handed on: documents, and its dictionary."""
+
+    def __init__(self, seed: int):
+        self.seed, self.spelled, self.longer = seed, _Spelled(), {}  # longer: key to spelling of groups of several tokens
+        self.pairs: dict[int, list[int]] = {}
+        self.clear_docs()
+        self.clear_dictionary()
+
+    def clear_docs(self) -> None:
+        self.docs: list[tuple] = []
+        self.keys: list[np.ndarray] = []
+        self.freqs: list[np.ndarray] = []
+        self.held = 0
+
+    def clear_dictionary(self) -> None:
+        self.seen: list[np.ndarray] = []
+        self.excess: Counter[int] = Counter()
+        self.longer, self.entries = {}, 0
+
+    def _pairs(self, key: int) -> list[int]:
+        pairs = self.pairs.get(key)
+        if pairs is None:
+            left, right = _ids(self.longer[key])
+            pairs = [p << 32 | q for p in set(left) for q in set(right)]
+            if len(self.pairs) >= TABLE:
+                self.pairs.clear()
+            if len(pairs) <= LONG:
+                self.pairs[key] = pairs
+        return pairs
+
+    def add(self, rid: int, doc: int | None, found: tuple | None) -> None:
+        if found is None:
+            self.docs.append((rid, doc, 0, 0, 0, 0, ""))
+            self.keys.append(np.zeros(0, np.int64))
+            self.freqs.append(np.zeros(0, np.int64))
+            return
+        a, b, a_cut, b_cut = found
+        a_n, b_n = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
+        codes = a[a_cut - 1] << 32 | b[b_cut - 1]
+        others, a_list, b_list = np.flatnonzero((a_n > 1) | (b_n > 1)), a.tolist(), b.tolist()
+        made: list[int] = []
+        for x, y, n, m in zip(a_cut[others].tolist(), b_cut[others].tolist(), a_n[others].tolist(), b_n[others].tolist()):
+            text = f"{','.join(map(str, a_list[x - n : x]))}|{','.join(map(str, b_list[y - m : y]))}".encode()
+            key = -(xxhash.xxh64_intdigest(text, self.seed) >> 1) - 1
+            self.longer[key] = text
+            made.append(key)
+        codes[others] = made
+        distinct, times = np.unique(codes, return_counts=True)
+        several = distinct[: np.searchsorted(distinct, 0)].tolist()
+        if several:
+            held = Counter(chain.from_iterable(map(self._pairs, several)))
+            single = np.fromiter(held, np.int64, len(held))
+            again = distinct[np.minimum(np.searchsorted(distinct, single), len(distinct) - 1)] == single
+            for pair, n, more in zip(held, held.values(), again.tolist()):
+                if n + more > 1:
+                    self.excess[pair] += n + more - 1
+        spelled, longer = self.spelled, self.longer
+        text = b";".join([spelled[c] if c >= 0 else longer[c] for c in codes.tolist()])
+        self.docs.append((rid, doc, len(a), len(b), len(codes), int((a_n * b_n).sum()), hashlib.sha256(text).hexdigest()))
+        self.keys.append(distinct)
+        self.freqs.append(times)
+        self.seen.append(distinct)
+        self.held += len(distinct) + 1
+        self.entries += len(distinct)
+
+    def documents(self) -> pa.RecordBatch:
+        columns = list(zip(*self.docs))
+        offsets = np.cumsum([0, *map(len, self.keys)]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(x).astype(t))) for x, t in ((self.keys, np.int64), (self.freqs, np.int32))]
+        self.clear_docs()
+        return _rows("doc", len(columns[0]), dict(zip(("rid", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"), columns)) | dict(zip(("keys", "freqs"), lists)))
+
+    def dictionary(self) -> Iterator[pa.RecordBatch]:
+        keys, docs = np.unique(np.concatenate(self.seen), return_counts=True)
+        sides = [_ids(self.longer[k]) if k < 0 else [[k >> 32], [k & 0xFFFFFFFF]] for k in keys.tolist()]
+        yield _rows("group", len(keys), {"key": keys, "a_ids": [x for x, _ in sides], "b_ids": [y for _, y in sides], "docs": docs})
+        if self.excess:
+            yield _rows("excess", len(self.excess), {"a_ids": [[p >> 32] for p in self.excess], "b_ids": [[p & 0xFFFFFFFF] for p in self.excess], "docs": list(self.excess.values())})
+        self.clear_dictionary()
+
+
+def _rows(kind: str, n: int, columns: dict) -> pa.RecordBatch:
+    columns = {"kind": [kind] * n} | columns
+    return pa.RecordBatch.from_arrays(
+        [columns[f.name] if isinstance(columns.get(f.name), pa.Array) else pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in SCHEMA], schema=SCHEMA
+    )
+
+
 def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a: str = TOKENIZER_A, b: str = TOKENIZER_B, seed: int = SEED) -> DataFrame:
     """Rows of three kinds: ``doc`` (group keys and frequencies of a document), ``group`` (a task's entry of the dictionary with
     its documents) and ``excess`` (a pair, and how often documents hold it in a further group)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        align = aligner(a, b)
-        known: dict[bytes, tuple[int, list[int]]] = {}  # spelling of a group: key and distinct pairs
-        entries: dict[bytes, list] = {}  # spelling: key, A ids, B ids, documents
-        excess: Counter[int] = Counter()
-        rows: list[dict] = []
-        held = 0
+        align, task = aligner(a, b), _Task(seed)
         for batch in batches:
             for rid, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                found = align.groups(text.as_py())
-                if found is None:
-                    rows.append({"kind": "doc", "rid": rid, "doc_id": doc, "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "keys": [], "freqs": []})
-                    continue
-                a_ids, b_ids, a_cut, b_cut = found
-                a_list, b_list, i, j = a_ids.tolist(), b_ids.tolist(), 0, 0
-                spelled = []
-                for x, y in zip(a_cut.tolist(), b_cut.tolist()):
-                    if x - i == 1 == y - j:
-                        spelled.append(b"%d|%d" % (a_list[i], b_list[j]))
-                    else:
-                        spelled.append(b"%b|%b" % (",".join(map(str, a_list[i:x])).encode(), ",".join(map(str, b_list[j:y])).encode()))
-                    i, j = x, y
-                counted = Counter(spelled)
-                keys, pairs = [], []
-                for group in counted:
-                    entry = known.get(group)
-                    if entry is None:
-                        left, right = (list(map(int, side.split(b","))) for side in group.split(b"|"))
-                        entry = (xxhash.xxh64_intdigest(group, seed) - (1 << 63), [p << 32 | q for p in set(left) for q in set(right)])
-                        if len(known) >= TABLE:
-                            known.clear()
-                        if len(entry[1]) <= LONG:
-                            known[group] = entry
-                    if group in entries:
-                        entries[group][1] += 1
-                    else:
-                        entries[group] = [entry[0], 1]
-                    keys.append(entry[0])
-                    pairs.append(entry[1])
-                n_pairs = sum(map(len, pairs))
-                if len(set(chain.from_iterable(pairs))) < n_pairs:
-                    for pair, times in Counter(chain.from_iterable(pairs)).items():
-                        if times > 1:
-                            excess[pair] += times - 1
-                links = int((np.diff(a_cut, prepend=0) * np.diff(b_cut, prepend=0)).sum())
-                rows.append({
-                    "kind": "doc", "rid": rid, "doc_id": doc, "n_a": len(a_list), "n_b": len(b_list), "n_groups": len(spelled), "n_links": links,
-                    "groups_sha256": hashlib.sha256(b";".join(spelled)).hexdigest(), "keys": keys, "freqs": list(counted.values()),
-                })
-                held += len(keys) + 1
-                if held >= TABLE:
-                    yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
-                    rows, held = [], 0
-                if len(entries) + len(excess) >= TABLE:
-                    yield _dictionary(entries, excess)
-                    entries, excess = {}, Counter()
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
-        if entries:
-            yield _dictionary(entries, excess)
+                task.add(rid, doc, align.groups(text.as_py()))
+                if task.held >= TABLE:
+                    yield task.documents()
+                if task.entries >= 10 * TABLE or len(task.longer) + len(task.excess) >= TABLE:
+                    yield from task.dictionary()
+        if task.docs:
+            yield task.documents()
+        if task.entries:
+            yield from task.dictionary()
 
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return texts.mapInArrow(run, FIELDS)
 
 
-def _dictionary(entries: dict[bytes, list], excess: Counter[int]) -> pa.RecordBatch:
-    rows = []
-    for group, (key, docs) in entries.items():
-        left, right = (list(map(int, side.split(b","))) for side in group.split(b"|"))
-        rows.append({"kind": "group", "key": key, "a_ids": left, "b_ids": right, "docs": docs})
-    rows += [{"kind": "excess", "a_ids": [pair >> 32], "b_ids": [pair & 0xFFFFFFFF], "docs": more} for pair, more in excess.items()]
-    return pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
-
-
 def dictionary(rows: DataFrame) -> DataFrame:
     """``key, a_ids, b_ids, docs``: every distinct group and the documents that hold it."""
     content = F.struct("a_ids", "b_ids")
