@@ -26,10 +26,18 @@ def linked(rows: DataFrame) -> DataFrame:
     return rows.withColumn("link", text.link_parts(strip("spotify_url"))).filter("link is not null").select("*", "link.kind", "link.id").drop("link")
 
 
-def missing_metadata(links: DataFrame, meta: DataFrame, batch: int = 50) -> DataFrame:
-    """Entities to fetch, in batches: ``kind, id, batch``."""
-    wanted = links.select("kind", "id").distinct().join(meta.select("kind", "id"), ["kind", "id"], "left_anti")
-    return wanted.withColumn("batch", F.pmod(F.xxhash64("id"), F.greatest(F.ceil(F.lit(wanted.count()) / batch), F.lit(1))))
+#: Entities that the service takes in one call.
+BATCHES = {"track": 50, "album": 20}
+
+
+def missing_metadata(links: DataFrame, meta: DataFrame, batches: dict[str, int] | None = None) -> DataFrame:
+    """Entities to fetch: ``kind, id, batch``; batches of a kind are numbered from 0 and full but for the last, and hold one kind."""
+    sizes = F.create_map(*[F.lit(x) for item in (batches or BATCHES).items() for x in item])
+    wanted = links.select("kind", "id").filter("id is not null").distinct().join(meta.select("kind", "id"), ["kind", "id"], "left_anti")
+    numbered = ranked(wanted, [F.asc("kind"), F.asc("id")], "rank")
+    starts = numbered.groupBy("kind").agg(F.min("rank").alias("start"))  # a row per kind
+    place = F.col("rank") - F.col("start")
+    return numbered.join(F.broadcast(starts), "kind").select("kind", "id", F.floor(place / F.coalesce(F.try_element_at(sizes, F.col("kind")), F.lit(50))).cast("long").alias("batch"))
 
 
 def scored(links: DataFrame, meta: DataFrame) -> DataFrame:

@@ -136,8 +136,64 @@ def _message(text: str, n: Column) -> Column:
     return F.when(n > 0, F.concat(F.lit(text + ": "), n.cast("string")))
 
 
-def gates(rows: DataFrame, catalog: dict[str, DataFrame] | None = None, entries: DataFrame | None = None, personnel: DataFrame | None = None, duplicate_pairs: DataFrame | None = None, clusters: DataFrame | None = None) -> DataFrame:
-    """``status, issues, warnings`` and the counts behind them (one row). Missing inputs become warnings."""
+REPORT = (
+    "clusters array<struct<original_candidate:string,members:array<struct<version_type:string>>>>, pairs array<string>,"
+    " metrics struct<match_type_counts:struct<relation_class:struct<probable_cover_or_interpolation:int>>>"
+)
+
+
+def _mixed(versions: Column) -> Column:
+    """Whether version types hold ``same_master`` beside another one; empty ones say nothing."""
+    said = F.filter(F.transform(versions, lambda v: F.lower(strip(v))), lambda v: v != "")
+    return F.array_contains(said, "same_master") & F.exists(said, lambda v: v != "same_master")
+
+
+def stored_report(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """Counts of a stored duplicate report, a JSON document (one row): ``valid, clusters, pairs, no_original, mixed, covers``.
+
+    ``valid`` is null if there is no document, false if it is not JSON.
+    """
+    parsed = documents.select(F.from_json(payload, REPORT).alias("r"), F.expr(f"try_parse_json({payload})").isNotNull().alias("valid"))
+    clusters = F.coalesce("r.clusters", F.from_json(F.lit("[]"), "array<struct<original_candidate:string,members:array<struct<version_type:string>>>>"))
+    missing = F.filter(clusters, lambda c: F.coalesce(c["original_candidate"], F.lit("")).isin("", "{}", "[]", "0", "false", "null"))
+    mixed = F.filter(clusters, lambda c: F.coalesce(_mixed(c["members"]["version_type"]), F.lit(False)))
+    covers = F.coalesce("r.metrics.match_type_counts.relation_class.probable_cover_or_interpolation", F.lit(0))
+    return parsed.agg(
+        F.first("valid").alias("valid"), *[F.coalesce(F.sum(x), F.lit(0)).alias(n) for n, x in (
+            ("clusters", F.size(clusters)), ("pairs", F.greatest(F.size(F.coalesce("r.pairs", F.array())), F.lit(0))), ("no_original", F.size(missing)), ("mixed", F.size(mixed)), ("covers", covers))],
+    )
+
+
+def report_of(clusters: DataFrame, items: DataFrame, pairs: DataFrame) -> DataFrame:
+    """As :func:`stored_report`, of the tables themselves: high-confidence ``clusters`` (cluster_id, cluster_confidence, original,
+    members), ``items`` (n, version_type) and ``pairs`` (confidence_band, relation_class)."""
+    high = clusters.filter("cluster_confidence = 'high'")
+    members = high.select("cluster_id", F.explode("members").alias("n")).join(items.select("n", F.lower(strip("version_type")).alias("v")), "n")
+    kinds = members.filter("v <> ''").groupBy("cluster_id").agg(F.max(F.col("v") == "same_master").alias("same"), F.max(F.col("v") != "same_master").alias("other"))
+    one = high.agg(F.count(F.lit(1)).alias("clusters"), F.count_if(F.col("original").isNull()).alias("no_original"))
+    return (
+        one.join(kinds.agg(F.count_if(F.col("same") & F.col("other")).alias("mixed")))
+        .join(pairs.agg(F.count_if(F.col("confidence_band") == "high").alias("pairs"), F.count_if(F.col("relation_class") == "probable_cover_or_interpolation").alias("covers")))
+        .select(F.lit(True).alias("valid"), "clusters", "pairs", "no_original", "mixed", "covers")
+    )
+
+
+def gates(
+    rows: DataFrame,
+    catalog: dict[str, DataFrame] | None = None,
+    entries: DataFrame | None = None,
+    personnel: DataFrame | None = None,
+    full: DataFrame | None = None,
+    high: DataFrame | None = None,
+    header: list[str] | None = None,
+    table_name: str = "the fact table",
+    log_name: str = "of the search log",
+) -> DataFrame:
+    """``status, issues, warnings`` and the counts behind them (one row). Missing inputs become warnings.
+
+    ``full`` and ``high``: counts of the whole and of the high-confidence duplicate report (:func:`stored_report`,
+    :func:`report_of`); ``header``: the columns that the table's file had.
+    """
     named = rules()
     missing, invalid = named["track_position_missing"], named["track_position_invalid"]
     one = rows.agg(
@@ -145,15 +201,17 @@ def gates(rows: DataFrame, catalog: dict[str, DataFrame] | None = None, entries:
         F.count_if(named["position_without_track"]).alias("stray_position"), F.count_if(named["release_date_format"]).alias("bad_date"),
     ).join(duplicate_excess(rows))
     issues = [_message("Duplicate rows detected", F.col("excess")), _message("Invalid track_position rows", F.col("bad_position")), _message("Invalid release_date rows", F.col("bad_date"))]
+    if header is not None and header != schema.FACT:
+        issues.insert(0, F.lit(f"Schema header mismatch in {table_name}"))
     warnings = [F.when(F.col("stray_position") > 0, "Non-track row has track_position"), _message("Track rows with bare digit track_position (no total)", F.col("bare_position"))]
     if entries is None:
-        warnings.append(F.lit("Tracking log not found -- skipping tracking checks"))
+        warnings.append(F.lit(f"Tracking file {log_name} not found -- skipping tracking checks"))
     else:
-        one = one.join(log_alignment(rows, entries).select("entries", "numbers"))
+        one = one.join(log_alignment(rows, entries).select("entries", "numbers", "collisions"))
         differ = F.concat(F.lit("Tracking entry mismatch: rows="), F.col("rows").cast("string"), F.lit(", entries="), F.col("entries").cast("string"))
         issues += [F.when(F.col("entries") != F.col("rows"), differ), F.when(F.col("numbers") != F.col("rows"), "Tracking row_number uniqueness mismatch")]
     if catalog is None:
-        warnings.append(F.lit("Catalog tables not found -- skipping FK checks"))
+        warnings.append(F.lit("Catalog files not found -- skipping FK checks"))
     else:
         for name, key in (("artists", "artist_id"), ("releases", "release_id"), ("works", "work_id")):
             one = one.join(orphan_count(catalog["tracks"], key, catalog[name]).withColumnRenamed("orphans", f"no_{key}"))
@@ -161,14 +219,20 @@ def gates(rows: DataFrame, catalog: dict[str, DataFrame] | None = None, entries:
         if personnel is not None:
             one = one.join(orphan_count(personnel, "release_id", catalog["releases"]).withColumnRenamed("orphans", "no_personnel_release"))
             warnings.append(_message("Personnel rows with no matching release", F.col("no_personnel_release")))
-    if duplicate_pairs is None:
-        warnings.append(F.lit("Duplicate report not found"))
-    else:
-        one = one.join(duplicate_pairs.agg(F.count_if(F.col("relation_class") == "probable_cover_or_interpolation").alias("covers")))
-        warnings.append(_message("Duplicate detector cross-artist probable cover/interpolation pairs", F.col("covers")))
-    if clusters is not None:
-        one = one.join(clusters_without_original(clusters).agg(F.count(F.lit(1)).alias("no_original")))
-        issues.append(_message("High-confidence duplicate clusters without an original", F.col("no_original")))
+    for report, kind, counts in (
+        (high, "Duplicate high-confidence report", {
+            "no_original": "Duplicate high-confidence clusters missing original candidate",
+            "mixed": "Duplicate high-confidence clusters contain mixed same_master and variant version_type values",
+        }),
+        (full, "Duplicate report", {"covers": "Duplicate detector cross-artist probable cover/interpolation pairs"}),
+    ):
+        absent = F.lit(f"{kind} not found")
+        if report is None:
+            warnings.append(absent)
+            continue
+        valid = f"valid_{len(one.columns)}"
+        one = one.join(report.select(F.col("valid").alias(valid), *counts, *(["clusters", "pairs"] if report is high else [])))
+        warnings += [F.when(F.col(valid).isNull(), absent).when(~F.col(valid), F.lit(f"{kind} is not valid JSON")), *[_message(text, F.col(c)) for c, text in counts.items()]]
     some = lambda xs: F.filter(F.array(*xs), lambda x: x.isNotNull())
     out = one.withColumn("issues", some(issues)).withColumn("warnings", F.array_sort(F.array_distinct(some(warnings))))
     return out.withColumn("status", F.when(F.size("issues") == 0, "PASS").otherwise("FAIL"))
@@ -180,14 +244,19 @@ def verdict(critical: Column, total: Column) -> Column:
     )
 
 
-def validated(rows: DataFrame) -> DataFrame:
-    """The rule counts folded into one verdict: critical issues are rows without an artist (one row)."""
+def validated(rows: DataFrame, entries: DataFrame | None = None) -> DataFrame:
+    """The rule counts folded into one verdict: critical issues are rows without an artist (one row). A log that holds entries adds an
+    issue if their number differs from the rows' and one if hashes repeat."""
     broken = violations(rows)
     listed = ["row_type_unknown", "release_category_unknown", "artist_missing"]
     capped = [f"{c}_prefix" for c in schema.LINK_PREFIX]
     # of link issues the report lists five each
     weight = F.when(F.col("rule").isin(*listed), F.col("broken")).when(F.col("rule").isin(*capped), F.least(F.col("broken"), F.lit(5))).otherwise(0)
     one = broken.agg(F.sum(F.when(F.col("rule") == "artist_missing", F.col("broken")).otherwise(0)).alias("critical"), F.sum(weight).alias("total"))
+    if entries is not None:
+        log = log_alignment(rows, entries)
+        found = F.when(F.col("entries") > 0, (F.col("entries") != F.col("rows")).cast("int") + (F.col("collisions") > 0).cast("int")).otherwise(0)
+        one = one.join(log.select(found.alias("log"))).select("critical", (F.col("total") + F.col("log")).alias("total"))
     return one.withColumn("verdict", verdict(F.col("critical"), F.col("total")))
 
 
@@ -198,5 +267,5 @@ def genre_terms(rows: DataFrame) -> DataFrame:
 
 
 def clusters_without_original(listed: DataFrame) -> DataFrame:
-    """High-confidence clusters whose original is missing: an issue each."""
+    """High-confidence clusters whose original is missing."""
     return listed.filter((F.col("cluster_confidence") == "high") & F.col("original").isNull()).select("cluster_id")

@@ -217,24 +217,63 @@ def multi_original(spark, sf_dir):
     return quality.several_originals(disc(spark, sf_dir), "_ord")
 
 
-@query(f"WITH {DISC} SELECT genre, count(*) AS n, false AS allowed FROM disc GROUP BY genre")
+_TERM = "CASE substr(_ord, 1, 1) WHEN '0' THEN 'Funk, ' || genre WHEN '1' THEN genre || ' (Live)' WHEN '2' THEN 'Odd ' || genre ELSE genre END"
+
+
+@query(f"""WITH {DISC}, t AS (SELECT trim(unnest(string_split({_TERM}, ','))) AS genre FROM disc)
+SELECT genre, count(*) AS n, genre IN ({", ".join(repr(g) for g in schema.GENRES)}) OR {" OR ".join(f"ends_with(genre, {s!r})" for s in schema.GENRE_SUFFIXES)} AS allowed FROM t WHERE genre <> '' GROUP BY genre""")
 def genre_terms(spark, sf_dir):
-    return quality.genre_terms(disc(spark, sf_dir))
+    """Genres of the fact table with planted terms: allowed ones, allowed by their ending, and unknown ones."""
+    return quality.genre_terms(disc(spark, sf_dir).withColumn("genre", F.expr(_TERM)))
 
 
 @query(rf"""WITH {DISC}, n AS (SELECT count(*) AS rows, (SELECT coalesce(CAST(sum(k - 1) AS BIGINT), 0) FROM (SELECT count(*) AS k FROM disc GROUP BY {_KEY})) AS excess,
  count(*) FILTER (row_type = 'track' AND NOT regexp_matches(track_position, '^\d+(/\d+)?$')) AS positions, count(*) FILTER (release_date <> '' AND NOT regexp_matches(release_date, '^\d{{4}}(-\d{{2}})?(-\d{{2}})?$')) AS dates,
  count(*) FILTER (row_type <> 'track' AND track_position <> '') AS stray, count(*) FILTER (row_type = 'track' AND regexp_matches(track_position, '^\d+$')) AS bare FROM disc),
+planted AS (SELECT count(*) FILTER (first % 2 = 0) AS no_original, count(*) FILTER (same > 0 AND other > 0) AS mixed, (SELECT count(*) FROM documents WHERE doc_id % 97 = 5) AS covers FROM (
+ SELECT min(doc_id) AS first, max(doc_id) AS last, count(*) FILTER (doc_id % 5 IN (1, 2)) AS same, count(*) FILTER (doc_id % 5 = 3) AS other FROM documents GROUP BY source, doc_id // 50) WHERE last % 3 > 0),
 l AS (SELECT rows, excess, list_filter([CASE WHEN excess > 0 THEN 'Duplicate rows detected: ' || excess END, CASE WHEN positions > 0 THEN 'Invalid track_position rows: ' || positions END,
  CASE WHEN dates > 0 THEN 'Invalid release_date rows: ' || dates END], lambda x: x IS NOT NULL) AS issues,
  list_sort(list_filter([CASE WHEN stray > 0 THEN 'Non-track row has track_position' END, CASE WHEN bare > 0 THEN 'Track rows with bare digit track_position (no total): ' || bare END,
- 'Tracking log not found -- skipping tracking checks', 'Duplicate report not found'], lambda x: x IS NOT NULL)) AS warnings FROM n)
+ CASE WHEN no_original > 0 THEN 'Duplicate high-confidence clusters missing original candidate: ' || no_original END,
+ CASE WHEN mixed > 0 THEN 'Duplicate high-confidence clusters contain mixed same_master and variant version_type values: ' || mixed END,
+ CASE WHEN covers > 0 THEN 'Duplicate detector cross-artist probable cover/interpolation pairs: ' || covers END,
+ 'Tracking file of the search log not found -- skipping tracking checks'], lambda x: x IS NOT NULL)) AS warnings FROM n, planted)
 SELECT CASE WHEN len(issues) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, issues, warnings, rows, excess FROM l""")
 def quality_status(spark, sf_dir):
-    """All gates over the fact table and its star schema."""
-    rows = disc(spark, sf_dir)
+    """All gates over the fact table, its star schema and duplicate clusters planted in the documents."""
+    rows, docs = disc(spark, sf_dir), table(spark, sf_dir, "documents")
     tables = {"artists": catalog.artists(rows), "releases": catalog.releases(rows), "works": catalog.works(rows), "tracks": catalog.tracks(rows)}
-    return quality.gates(rows, tables).select("status", "issues", "warnings", "rows", "excess")
+    clusters = docs.groupBy("source", F.expr("doc_id div 50").alias("part")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.collect_list("doc_id").alias("members"))
+    clusters = clusters.select(
+        F.concat_ws(":", F.coalesce("source", F.lit("none")), "part").alias("cluster_id"), F.when(F.col("last") % 3 > 0, "high").otherwise("low").alias("cluster_confidence"),
+        F.when(F.col("first") % 2 == 1, F.col("first")).alias("original"), "members",
+    )
+    kind = F.col("doc_id") % 5
+    items = docs.select(F.col("doc_id").alias("n"), F.when(kind == 1, "same_master").when(kind == 2, " Same_Master").when(kind == 3, "live").otherwise("").alias("version_type"))
+    pairs = docs.select(F.lit("high").alias("confidence_band"), F.when(F.col("doc_id") % 97 == 5, "probable_cover_or_interpolation").otherwise("uncertain").alias("relation_class"))
+    report = quality.report_of(clusters, items, pairs)
+    return quality.gates(rows, tables, full=report, high=report).select("status", "issues", "warnings", "rows", "excess")
+
+
+@query("""WITH p AS (SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^#]*)', 1) AS path FROM pages)
+SELECT page_id, url FROM p WHERE NOT (coalesce(ends_with(host, '.com') OR ends_with(host, '.net'), false) AND (starts_with(path, '/en/1') OR (starts_with(path, '/de/') AND NOT starts_with(path, '/de/2')) OR starts_with(path, '/fr/3')))""")
+def robots_gate(spark, sf_dir):
+    """Pages that the stored rules of their hosts permit: the first rule decides, so nothing opens a part of /en/1 again."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = pages.select(F.regexp_extract("url", r"^[a-z]+://([^/?#]*)", 1).alias("host")).distinct().filter(r"host rlike '\\.(com|net)$'")
+    body = "User-agent: other\nDisallow: /\n\nUser-agent: *\nDisallow: /en/1 # no\nAllow: /en/12\nAllow: /de/2\nDisallow: /de/\nDisallow: /fr/3\n"
+    return graph.permitted(pages, graph.robots_rules(hosts.withColumn("body", F.lit(body))), agent="catbot/1.0")
+
+
+@query("""WITH l AS (SELECT DISTINCT CASE WHEN doc_id % 3 = 0 THEN 'album' ELSE 'track' END AS kind, md5(coalesce(text, '')) AS id FROM documents),
+m AS (SELECT CASE WHEN d.doc_id % 3 = 0 THEN 'album' ELSE 'track' END AS kind, md5(coalesce(text, '')) AS id FROM documents d JOIN labels USING (doc_id))
+SELECT kind, id, (row_number() OVER (PARTITION BY kind ORDER BY id) - 1) // CASE WHEN kind = 'album' THEN 20 ELSE 50 END AS batch FROM l ANTI JOIN m USING (kind, id)""")
+def fetch_batches(spark, sf_dir):
+    """Calls to make for what the cache lacks: 50 tracks or 20 albums each."""
+    docs = table(spark, sf_dir, "documents")
+    links = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, "album").otherwise("track").alias("kind"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("id"))
+    return audit.missing_metadata(links, links.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi"))
 
 
 def sentence(text="text"):

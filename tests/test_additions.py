@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from catloom import schema
 from catloom.operators import audit, catalog, consolidate, discover, duplicates, graph, quality  # noqa: F401
 from catloom.operators.components import connected_components
 from catloom.sources import cache, files
@@ -23,12 +22,64 @@ def test_sidecars_keep_file_and_line(spark, tmp_path):
     assert out == {("b.csv", 0, "1", "X"), ("a.csv", 0, "2", "Y, Z"), ("a.csv", 1, "3", "n")}
 
 
-def test_robots(spark):
-    body = "User-agent: x\nDisallow: /\nUser-agent: *\nDisallow: /private\nAllow: /private/open # yes\nDisallow:\n"
-    rules = graph.robots_rules(spark.createDataFrame([("h", body)], "host string, body string"))
-    urls = spark.createDataFrame([(u,) for u in ("http://h/a", "http://h/private/x", "http://h/private/open/y", "http://o/private")], "url string")
-    assert {r["url"][7:] for r in graph.permitted(urls, rules).collect()} == {"h/a", "h/private/open/y", "o/private"}
-    assert graph.permitted(urls, rules.limit(0)).count() == 4
+ROBOTS = [
+    "User-agent: x\nDisallow: /\nUser-agent: *\nDisallow: /private\nAllow: /private/open # yes\nDisallow:\n",
+    "User-agent: *\nUser-agent: foo\nDisallow: /x\n",
+    "User-agent: foo\n\nUser-agent: foo\nAllow: /a/b\nDisallow: /a\n\nUser-agent: *\nDisallow: /\n",
+    "# only a comment\nUser-agent: foo # us\n# between\nCrawl-delay: 3\nDisallow: /a%20b\nDisallow: /ö\nDisallow: /q?x=1\n",
+    "Disallow: /\nUser-agent: *\nDisallow: *\nAllow: /\n",
+    "User-agent: FOO/2\nDisallow: /a\nUser-agent: foob\nDisallow: /b\n", "User-agent: *\nDisallow:\n", "", None, "User-agent: *\nDisallow: /a\n\nUser-agent: *\nDisallow: /b\n",
+]
+
+
+def test_robots_as_the_standard_parser_reads_them(spark):
+    from urllib.robotparser import RobotFileParser
+
+    paths = ["", "/", "/a", "/a/b", "/a/c", "/b", "/x", "/private/x", "/private/open/y", "/a b", "/a%20b", "/ö", "/%C3%B6", "/q?x=1", "/q?x=2", "/*", "/a#f"]
+    urls = [(f"http://h{k}{p}", "other") for k in range(len(ROBOTS)) for p in paths] + [("http://none/a", "other"), (None, "other"), ("no url", "other")]
+    rules = graph.robots_rules(spark.createDataFrame([(f"h{k}", body) for k, body in enumerate(ROBOTS)], "host string, body string"))
+    df = spark.createDataFrame(urls, "url string, path string").withColumn("host", F.lit("other"))
+    for agent in ("Foo/1.0", "foobar", "bar"):
+        wanted = []
+        for u, _ in urls:
+            if u and u.startswith("http://h"):
+                parser = RobotFileParser()
+                parser.parse((ROBOTS[int(u[8])] or "").splitlines())
+                wanted += [u] * parser.can_fetch(agent, u)
+            else:
+                wanted.append(u)
+        out = graph.permitted(df, rules, agent=agent)
+        assert out.columns == df.columns and sorted(map(str, wanted)) == sorted(str(r["url"]) for r in out.collect()), agent
+    assert graph.permitted(df, rules.limit(0)).count() == len(urls) and graph.permitted(df.limit(0), rules).count() == 0
+
+
+def test_batches_are_full(spark):
+    links = spark.createDataFrame([("track", f"t{k:03}") for k in range(200)] * 2 + [("album", f"a{k}") for k in range(41)] + [("album", None)], "kind string, id string")
+    out = audit.missing_metadata(links, spark.createDataFrame([("track", "t000")], "kind string, id string"))
+    sizes = {(r["kind"], r["batch"]): r["n"] for r in out.groupBy("kind", "batch").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sizes == {("track", 0): 50, ("track", 1): 50, ("track", 2): 50, ("track", 3): 49, ("album", 0): 20, ("album", 1): 20, ("album", 2): 1}
+
+
+def test_gates_read_stored_reports(spark):
+    from tests.test_operators import BASE, fact
+
+    rows = fact(spark, [BASE | {"track_position": "1/2"}])
+    report = '{"clusters": [{"original_candidate": {"row": 1}, "members": [{"version_type": "same_master"}, {"version_type": " Live"}]}, {"original_candidate": {}, "members": [{"version_type": "same_master"}]}, {"members": []}], "pairs": [{"a": 1}, {"a": 2}], "metrics": {"match_type_counts": {"relation_class": {"probable_cover_or_interpolation": 4}}}}'
+    read = lambda text: quality.stored_report(spark.createDataFrame([(text,)] if text is not None else [], "payload string"))
+    first = quality.gates(rows, full=read(report), high=read(report)).first()
+    assert (first["status"], first["issues"], first["clusters"], first["pairs"]) == ("PASS", [], 3, 2)
+    assert first["warnings"] == [
+        "Catalog files not found -- skipping FK checks", "Duplicate detector cross-artist probable cover/interpolation pairs: 4",
+        "Duplicate high-confidence clusters contain mixed same_master and variant version_type values: 1", "Duplicate high-confidence clusters missing original candidate: 2",
+        "Tracking file of the search log not found -- skipping tracking checks",
+    ]
+    broken = quality.gates(rows, full=read("{"), high=read("[1"), header=["artist"]).first()
+    assert {"Duplicate report is not valid JSON", "Duplicate high-confidence report is not valid JSON"} <= set(broken["warnings"]) and broken["issues"] == ["Schema header mismatch in the fact table"]
+    for absent in (quality.gates(rows).first(), quality.gates(rows, full=read(None), high=read(None)).first()):
+        assert {"Duplicate report not found", "Duplicate high-confidence report not found"} <= set(absent["warnings"]) and absent["status"] == "PASS"
+    log = spark.createDataFrame([(2, "h"), (3, "h")], "row_number long, row_hash string")
+    assert quality.gates(rows, entries=log).first()["collisions"] == 1
+    assert quality.validated(rows, log).first()["total"] == quality.validated(rows).first()["total"] + 2
 
 
 def test_seeds_and_order(spark):
@@ -37,8 +88,6 @@ def test_seeds_and_order(spark):
     assert [r["n"] for r in catalog.in_order(spark.createDataFrame([("b", 1), ("A", 2)], "n string, _ord int"), "n").collect()] == ["A", "b"]
     clusters = spark.createDataFrame([("x", "high", None), ("y", "low", None), ("z", "high", 1)], "cluster_id string, cluster_confidence string, original int")
     assert [r["cluster_id"] for r in quality.clusters_without_original(clusters).collect()] == ["x"]
-    facts = spark.createDataFrame([], ", ".join(f"{c} string" for c in schema.FACT))
-    assert quality.gates(facts, clusters=clusters).first()["issues"] == ["High-confidence duplicate clusters without an original: 1"]
 
 
 def test_ranks_are_those_of_the_whole_order(spark):
