@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 from catloom import schema
 from catloom.schema import SchemaMismatch, check_header, filled, strings
 from catloom.runtime import cut
+from catloom.sources.split_csv import read_split_csv
 
 
 def _fs(spark: SparkSession, path: str):
@@ -58,10 +59,9 @@ def with_order(df: DataFrame, name: str = "_ord") -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, ordered: bool = True) -> DataFrame:
-    """All cells as strings, empty ones as empty strings; quotes and line breaks inside cells are kept."""
-    names = columns or header(spark, path)
-    raw = spark.read.schema(strings(names)).option("header", True).option("escape", '"').option("multiLine", True).option("enforceSchema", True).csv(path)
-    return filled(with_order(raw)) if ordered else filled(raw)
+    """All cells as strings, empty ones as empty strings; quotes and line breaks inside cells are kept. Files are read in ranges."""
+    found = read_split_csv(spark, path, columns or header(spark, path))
+    return found.drop("file") if ordered else found.drop("_ord", "file")
 
 
 def read_strict(spark: SparkSession, path: str, columns: list[str] | None = None, min_rows: int = 1) -> DataFrame:
@@ -88,12 +88,10 @@ def read_feeds(spark: SparkSession, folder: str) -> DataFrame:
     """All feeds of a folder in file order, ten stripped columns; the source defaults to the file's name."""
     from catloom.functions.text import strip
 
-    raw = spark.read.schema(strings(schema.SOURCE)).option("header", True).option("escape", '"').option("multiLine", True)
-    df = raw.option("ignoreCorruptFiles", True).option("pathGlobFilter", "*.csv").csv(folder)
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
-    ordered = with_order(df.withColumn("__stem", stem).select("*", "_metadata"))
-    source = F.when(strip("discovery_source") == "", F.col("__stem")).otherwise(strip("discovery_source"))
-    return ordered.select("_ord", *[(source if c == "discovery_source" else strip(c)).alias(c) for c in schema.SOURCE])
+    df = read_split_csv(spark, folder, schema.SOURCE, "*.csv")
+    stem = F.regexp_replace(F.url_decode(F.element_at(F.split("file", "/"), -1)), r"\.csv$", "")
+    source = F.when(strip("discovery_source") == "", stem).otherwise(strip("discovery_source"))
+    return df.select("_ord", *[(source if c == "discovery_source" else strip(c)).alias(c) for c in schema.SOURCE])
 
 
 def row_number(order: str = "_ord"):
@@ -136,7 +134,7 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, expect
     temporary = f"{path}.{uuid.uuid4().hex}.tmp"
     out = df.orderBy(order) if order in df.columns else df
     out.select(*columns).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(temporary)
-    written = spark.read.schema(strings(columns)).option("header", True).option("escape", '"').option("multiLine", True).csv(temporary).count()
+    written = read_csv(spark, temporary, columns, ordered=False).count()
     _, at = _fs(spark, temporary)
     try:
         guard(written, columns, expected, old, min_rows)
