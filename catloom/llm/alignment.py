@@ -77,13 +77,15 @@ class Aligner:
         if not text:
             return None
         raw = b" " + text.encode()
-        a = np.frombuffer(self.a.ids(" " + text), "<u4").astype(np.int64)
-        b = np.array(self.b.encode(text, num_threads=1), np.int64)
-        if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
+        a, b = np.frombuffer(self.a.ids(" " + text), "<u4"), self.b.encode(text, num_threads=1)
+        # byte-level tokens without a normaliser spell their text by construction
+        if b"".join([self.b_bytes[i] for i in b]) != raw or not self.a.cached and b"".join([self.a_bytes[i] for i in a.tolist()]) != raw:
             return None
+        b = np.array(b, "<u4")
         a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
-        _, a_cut, b_cut = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-        return a, b, a_cut + 1, b_cut + 1
+        a_cut = np.searchsorted(b_ends, a_ends)
+        same = b_ends[a_cut] == a_ends
+        return a, b, np.flatnonzero(same) + 1, a_cut[same] + 1
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -113,7 +115,7 @@ class _Task:
     """What a task has gathered since it last handed on: documents, and its dictionary."""
 
     def __init__(self, seed: int):
-        self.seed, self.spelled, self.longer = seed, _Spelled(), {}  # longer: key to spelling of groups of several tokens
+        self.seed, self.spelled = seed, _Spelled()
         self.pairs: dict[int, list[int]] = {}
         self.clear_docs()
         self.clear_dictionary()
@@ -127,7 +129,10 @@ class _Task:
     def clear_dictionary(self) -> None:
         self.seen: list[np.ndarray] = []
         self.excess: Counter[int] = Counter()
-        self.longer, self.entries = {}, 0
+        # of groups of several tokens: ids to key, key to spelling
+        self.made: dict[tuple[bytes, bytes], int] = {}
+        self.longer: dict[int, bytes] = {}
+        self.entries = 0
 
     def _pairs(self, key: int) -> list[int]:
         pairs = self.pairs.get(key)
@@ -148,14 +153,17 @@ class _Task:
             return
         a, b, a_cut, b_cut = found
         a_n, b_n = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
-        codes = a[a_cut - 1] << 32 | b[b_cut - 1]
-        others, a_list, b_list = np.flatnonzero((a_n > 1) | (b_n > 1)), a.tolist(), b.tolist()
+        codes = a[a_cut - 1].astype(np.int64) << 32 | b[b_cut - 1]
+        others, a_raw, b_raw = np.flatnonzero((a_n > 1) | (b_n > 1)), a.tobytes(), b.tobytes()
         made: list[int] = []
-        for x, y, n, m in zip(a_cut[others].tolist(), b_cut[others].tolist(), a_n[others].tolist(), b_n[others].tolist()):
-            text = f"{','.join(map(str, a_list[x - n : x]))}|{','.join(map(str, b_list[y - m : y]))}".encode()
-            key = -(xxhash.xxh64_intdigest(text, self.seed) >> 1) - 1
-            self.longer[key] = text
-            made.append(key)
+        for x, y, n, m in zip(*((4 * v[others]).tolist() for v in (a_cut, b_cut, a_n, b_n))):
+            raw = a_raw[x - n : x], b_raw[y - m : y]
+            known = self.made.get(raw)
+            if known is None:
+                text = "|".join(",".join(map(str, np.frombuffer(side, "<u4").tolist())) for side in raw).encode()
+                known = self.made[raw] = -(xxhash.xxh64_intdigest(text, self.seed) >> 1) - 1
+                self.longer[known] = text
+            made.append(known)
         codes[others] = made
         distinct, times = np.unique(codes, return_counts=True)
         several = distinct[: np.searchsorted(distinct, 0)].tolist()
