@@ -12,6 +12,7 @@ from catloom.operators.components import connected_components
 from catloom.plans.disc import DISC, disc
 from catloom.plans.registry import query
 from catloom.runtime import cut, table
+from catloom.sources import integrity
 
 _KEY = ", ".join(f"lower(trim({c}))" for c in schema.KEY)
 _ART = "'art_' || substr(sha1(lower(trim(artist))), 1, 12)"
@@ -104,19 +105,58 @@ _FIRSTS = ["artist", "song_name", "album_name", "track_position", "row_type", "r
 _FILLED = ["chart_position", "awards", "spotify_url", "youtube_url"]
 
 
-@query(f"""WITH {DISC}, s AS (SELECT * REPLACE ('' AS album_name, '' AS track_position, substr(release_date, 1, 4) AS release_date) FROM disc),
+_CANONICAL = f"""WITH {DISC}, s AS (SELECT * REPLACE ('' AS album_name, '' AS track_position, substr(release_date, 1, 4) AS release_date) FROM disc),
 g AS (SELECT min(_ord) AS _ord, {', '.join(f'arg_min({c}, _ord) AS {c}' for c in _FIRSTS)}, {', '.join(f"coalesce(arg_min({c}, _ord) FILTER ({c} <> ''), '') AS {c}" for c in _FILLED)}, count(*) AS copies,
  arg_min(alternative_names, _ord) AS one, list_filter(flatten(list(string_split(alternative_names, ', ') ORDER BY _ord)), lambda x: x <> '') AS parts, list(notes ORDER BY _ord) AS every FROM s GROUP BY {_KEY}),
 m AS (SELECT *, CASE WHEN copies = 1 THEN one ELSE coalesce(array_to_string(list_filter(parts, lambda x, i: list_position(parts, x) = i), ', '), '') END AS alternative_names,
  list_reduce(every, lambda a, x: CASE WHEN a = x OR x = '' THEN a WHEN a = '' THEN x ELSE a || ' | ' || x END) AS notes FROM g),
 ids AS (SELECT *, {_ART} AS a_id, {_REL} AS r_id, {_BASETITLE} AS base, {_WORK} AS w_id FROM m), {_SOURCES}
 SELECT _ord, {', '.join(_FIRSTS[:-1] + _FILLED)}, CASE WHEN contains(duration_seconds, '.') THEN '' ELSE duration_seconds END AS duration_seconds, alternative_names, notes,
- w_id AS work_id, {_VER} AS version_id, {_VERSION} AS version_type, source AS source_release_id FROM src""")
+ w_id AS work_id, {_VER} AS version_id, {_VERSION} AS version_type, source AS source_release_id FROM src"""
+
+
+@query(_CANONICAL)
 def canonicalise(spark, sf_dir):
     """The whole normalisation: positions, merge, lineage."""
     return lineage.canonicalise(_small(disc(spark, sf_dir)))[0]
 
 
+def _tree_sql(source, columns, depth):
+    """A hash tree in SQL: row hashes, leaves, then level by level."""
+    spell = " || ".join(f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in columns)
+    levels = [f"hashed AS (SELECT sha256({spell}) AS hash, count(*) AS n FROM {source} GROUP BY 1)"]
+    levels.append(f"l{depth} AS (SELECT {depth} AS level, substr(hash, 1, {depth}) AS bucket, sum(n)::BIGINT AS rows, sha256(string_agg(hash || ':' || n, ',' ORDER BY hash)) AS digest FROM hashed GROUP BY 2)")
+    for up in range(depth - 1, -1, -1):
+        levels.append(f"l{up} AS (SELECT {up} AS level, substr(bucket, 1, {up}) AS bucket, sum(rows)::BIGINT AS rows, sha256(string_agg(bucket || '=' || digest, ',' ORDER BY bucket)) AS digest FROM l{up + 1} GROUP BY 2)")
+    return ", ".join(levels)
+
+
+@query(f"WITH {_tree_sql('documents', ['doc_id', 'text', 'lang', 'source', 'n_chars'], 2)} SELECT * FROM l2 UNION ALL SELECT * FROM l1 UNION ALL SELECT * FROM l0")
+def table_tree(spark, sf_dir):
+    """The hash tree of all documents."""
+    return integrity.hash_tree(table(spark, sf_dir, "documents"), ["doc_id", "text", "lang", "source", "n_chars"], 2)
+
+
+@query(f"WITH canonical AS ({_CANONICAL}), {_tree_sql('canonical', schema.FACT, 1)} SELECT rows, digest AS once, digest AS twice FROM l0")
+def rerun_proof(spark, sf_dir):
+    """Normalisation applied once and again: both tables have one root, which is that of the table as SQL makes it."""
+    once = lineage.canonicalise(_small(disc(spark, sf_dir)))[0]
+    twice = lineage.canonicalise(once)[0]
+    first, second = (integrity.hash_tree(t, schema.FACT, 1).filter("level = 0") for t in (once, twice))
+    return first.select("rows", F.col("digest").alias("once")).join(second.select(F.col("digest").alias("twice")))
+
+
+@query("""WITH c AS (SELECT CASE WHEN doc_id % 7 = 0 THEN '' ELSE coalesce(source, '') END AS artist, CASE WHEN doc_id % 7 = 4 THEN 'session' ELSE 'album' END AS row_type,
+ CASE WHEN doc_id % 11 = 0 THEN 'merged' ELSE 'pending' END AS status, source, doc_id FROM documents)
+SELECT count(*) AS total_raw_rows, count(DISTINCT source) AS source_files, count(*) AS unique_candidates, count(DISTINCT artist) AS artists, count(*) FILTER (status = 'pending') AS pending, 0::BIGINT AS existing,
+ count(*) FILTER (status = 'merged') AS merged, 0::BIGINT AS rejected, 0::BIGINT AS fuzzy_duplicate, count(*) FILTER (row_type = 'album') AS album_rows, 0::BIGINT AS track_rows, 0::BIGINT AS single_rows,
+ (SELECT count(*) FROM labels) AS corrections_found FROM c""")
+def run_totals(spark, sf_dir):
+    """The run record over candidates made of all documents."""
+    rows = candidate_rows(spark, sf_dir).withColumn("artist", F.coalesce("artist", F.lit("")))
+    return consolidate.run_totals(rows.withColumn("discovery_source", F.col("sources")), rows, table(spark, sf_dir, "labels"))
+
+
 def _hex(start, digits):
     """A number from digits of the order key."""
     return F.conv(F.substring("_ord", start, digits), 16, 10).cast("long")

@@ -6,9 +6,7 @@ The ordinal of a row in its file is data here (keep-first rules and row numbers
 
 from __future__ import annotations
 
-import json
 import uuid
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +15,7 @@ from pyspark.sql.window import Window
 from catloom import schema
 from catloom.schema import SchemaMismatch, check_header, filled, strings
 from catloom.runtime import cut
+from catloom.sources import integrity
 from catloom.sources.split_csv import read_split_csv
 
 
@@ -157,31 +156,14 @@ def append_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     write_csv(cut(old.unionByName(df.select(*columns))), path, columns, order=None)
 
 
-def content_hash(df: DataFrame) -> tuple[int, int]:
-    """Row count and an order-insensitive hash of the contents."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], int(row["h"] or 0)
-
-
 def save_manifest(df: DataFrame, path: str) -> None:
-    n, h = content_hash(df)
-    made = datetime.now(timezone.utc).isoformat()
-    df.sparkSession.createDataFrame([(json.dumps({"rows": n, "hash": str(h), "created": made}),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """The hash tree of a table, with its root, row count and time."""
+    integrity.save_tree(df, path)
 
 
 def verify_manifest(df: DataFrame, path: str) -> tuple[bool, str]:
     """Whether a table is what its manifest says; without a readable manifest there is nothing to hold against it."""
-    if not exists(df.sparkSession, path):
-        return True, "no manifest"
-    try:
-        known = json.loads(df.sparkSession.read.text(path).first()["value"])
-        rows, mark = known["rows"], known["hash"]
-    except (ValueError, KeyError, TypeError):
-        return True, "unreadable manifest"
-    n, h = content_hash(df)
-    if n != rows:
-        return False, f"{n} rows, the manifest says {rows}"
-    return (True, "unchanged") if str(h) == mark else (False, "contents differ")
+    return integrity.verify_tree(df, path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
