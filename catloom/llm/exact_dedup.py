@@ -5,7 +5,7 @@
    digest; the ``2 * counters`` with the largest sums are candidates. A digest missed there only takes the ordinary way.
 3. Candidates are verified by an exact count (map-side combined). Those above the floor - at most
    ``2 * counters`` rows, the bound of what is broadcast - are resolved map-side against the broadcast winners.
-4. All other digests have small groups by construction and take the ordinary shuffle.
+4. All other digests have small groups by construction and take the ordinary shuffle: sizes and winners are an aggregate, joined back.
 
 Defined results: a null text counts as the empty text; a null id sorts below every other id; of rows with
 equal text *and* equal id one is kept; an empty table gives an empty result; only the id and the text column
@@ -20,7 +20,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from catloom.runtime import cut
 
@@ -79,13 +78,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table = digests(docs, id_col, text_col)
     heavy = heavy_winners(table, counters)
     hot = table.join(F.broadcast(heavy), "digest").select("doc_id", "rid", "digest", "group_size", "winner")
-    group = Window.partitionBy("digest")
-    cold = (
-        table.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
-        .withColumn("group_size", F.count(F.lit(1)).over(group))
-        .withColumn("winner", F.max(F.struct("doc_id", "rid")).over(group))
-        .select("doc_id", "rid", "digest", "group_size", "winner")
-    )
+    # counted with map-side combine and joined back: a digest just under the frequent ones is no group in one task
+    rest = table.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
+    sizes = rest.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "rid")).alias("winner"))
+    cold = rest.join(sizes, "digest").select("doc_id", "rid", "digest", "group_size", "winner")
     return hot.unionByName(cold).select(
         "doc_id",
         F.col("winner.doc_id").alias("keep_id"),
