@@ -172,11 +172,12 @@ def mix(
 
 def interleave(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs``, unchanged and all of them, in mixed order (a range partitioned sort)."""
-    order = mix(docs, weights, id_col, source_col, **options)
-    # rows that share an id share its places; which of them takes which does not matter, so take the first
-    order = order.groupBy("doc_id", "source").agg(F.min(F.struct("slot", "place")).alias("at"))
-    # columns go by position, so that no name clashes
+    # columns go by position, so that no name clashes; a row of null id goes by its contents
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    key, source = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, source_col))
-    matched = plain.join(order.hint("shuffle_hash"), key.cast("long").eqNullSafe(F.col("doc_id")) & source.cast("string").eqNullSafe(F.col("source")), "left")
+    identity, source = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, source_col))
+    key = F.coalesce(identity.cast("long"), F.xxhash64(*plain.columns))
+    order = mix(plain.select(key.alias("doc_id"), source.cast("string").alias("source")), weights, **options)
+    # rows that share a key share its places; which of them takes which does not matter, so take the first
+    order = order.groupBy("doc_id", "source").agg(F.min(F.struct("slot", "place")).alias("at"))
+    matched = plain.join(order.hint("shuffle_hash"), (key == F.col("doc_id")) & source.cast("string").eqNullSafe(F.col("source")), "left")
     return matched.orderBy("at.slot", "at.place").drop("doc_id", "source", "at").toDF(*docs.columns)

@@ -2,6 +2,10 @@
 
 Every stage is a function of (spark, docs, sf_dir); ``run`` writes its rows as Parquet in the shared folder and
 hands what is read again to the next. All stages but the last return the columns of documents.
+
+Defined results: rows of null or empty text are in no learned language and go in the first stage, before any other sees them; rows of
+null id are kept and packed like others; of rows equal in id and text one stays; an empty table gives an empty result; other
+columns, whatever their names, are carried to the last stage and not read.
 """
 
 from __future__ import annotations
@@ -48,7 +52,7 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: A trained network decides the first stage, so SQL cannot express the rows of run(); tests compare by brute force.
+#: A trained network decides the first stage, so SQL cannot express the rows of run(); tests compare the other stages with plain versions.
 ORACLE_SQL = None
 
 
