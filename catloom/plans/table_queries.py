@@ -11,7 +11,7 @@ from catloom.operators import audit, blocking, catalog, consolidate, dedupe, dup
 from catloom.operators.components import connected_components
 from catloom.plans.disc import DISC, disc
 from catloom.plans.registry import query
-from catloom.runtime import cut, table
+from catloom.runtime import bounded, cut, table
 from catloom.sources import integrity
 
 _KEY = ", ".join(f"lower(trim({c}))" for c in schema.KEY)
@@ -165,8 +165,9 @@ def _hex(start, digits):
 def log_entries(spark, sf_dir):
     """Prior log entries from events: some of full, some of legacy signature only."""
     events = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    rows = disc(spark, sf_dir).withColumn("k", _hex(1, 6) % 997)
-    known = rows.join(F.broadcast(events.filter("k < 997")), "k").withColumn("row_type", F.when(F.col("k") % 2 == 0, "").otherwise(F.col("row_type")))
+    users = table(spark, sf_dir, "events").agg(F.max("user_id") + 1).first()[0] or 1
+    rows = disc(spark, sf_dir).withColumn("k", _hex(1, 6) % users)
+    known = rows.join(bounded(events), "k").withColumn("row_type", F.when(F.col("k") % 2 == 0, "").otherwise(F.col("row_type")))
     size = (F.col("k") % 4).cast("int")
     event = F.struct(F.lit("2024-01-01").alias("date"), F.lit("r").alias("round"), F.lit("m").alias("method"), F.lit("x").alias("result"), F.lit(None).cast("double").alias("score"),
                      F.lit(None).cast("string").alias("previous_url"), F.lit(None).cast("array<string>").alias("reason_codes"))
@@ -180,7 +181,7 @@ _FULL = "lower(concat_ws('|', artist, album_name, song_name, track_position, rel
 _SHORT = "lower(concat_ws('|', artist, album_name, song_name, track_position, release_date))"
 
 
-@query(f"""WITH {DISC}, k AS (SELECT *, ('0x' || substr(_ord, 1, 6))::BIGINT % 997 AS k FROM disc), e AS (SELECT k.*, n FROM k JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY 1) u ON k = user_id),
+@query(f"""WITH {DISC}, k AS (SELECT *, ('0x' || substr(_ord, 1, 6))::BIGINT % (SELECT max(user_id) + 1 FROM events) AS k FROM disc), e AS (SELECT k.*, n FROM k JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY 1) u ON k = user_id),
 t AS (SELECT _ord, {_FULL.format("CASE WHEN k % 2 = 0 THEN '' ELSE row_type END")} AS f, {_SHORT} AS l, CASE WHEN k % 3 = 0 THEN 'needs_research' ELSE 'not_found' END AS ss, n, CASE WHEN k % 5 = 0 THEN 'high' END AS cl, k % 4 AS h FROM e),
 i AS (SELECT s, arg_min({{'ss': ss, 'n': n, 'cl': cl, 'h': h}}, row(-h, _ord)) AS p FROM (SELECT f AS s, * FROM t UNION ALL SELECT l AS s, * FROM t) GROUP BY s),
 j AS (SELECT disc.*, coalesce(a.p, b.p) AS p FROM disc LEFT JOIN i a ON a.s = {_FULL.format('row_type')} LEFT JOIN i b ON b.s = {_SHORT})
@@ -543,17 +544,14 @@ def set_coverage(spark, sf_dir):
     return docs.join(bench, "w", "left").groupBy("lang").agg(F.count("hit").alias("matched"), F.round(100.0 * F.count("hit") / F.count(F.lit(1)), 2).alias("rate"))
 
 
-@query("""WITH t AS (SELECT DISTINCT lower(p_name) AS name, list_sort(list_distinct(string_split(lower(p_name), ' '))) AS w FROM part)
-SELECT a.name AS left_name, b.name AS right_name, len(list_intersect(a.w, b.w)) / CAST(len(list_distinct(list_concat(a.w, b.w))) AS DOUBLE) AS overlap
-FROM t a JOIN t b ON a.name < b.name WHERE len(list_intersect(a.w, b.w)) > 0""")
+@query("""WITH t AS (SELECT DISTINCT lower(p_name) AS name, list_distinct(string_split(lower(p_name), ' ')) AS w FROM part),
+p AS (SELECT a.name, b.name AS other, len(list_intersect(a.w, b.w)) / CAST(len(list_distinct(list_concat(a.w, b.w))) AS DOUBLE) AS overlap FROM t a JOIN t b ON a.name <> b.name),
+l AS (SELECT name, count(*) AS n_links, max(overlap) AS best, arg_min(other, row(-overlap, other)) AS nearest FROM p WHERE overlap >= 0.5 GROUP BY name)
+SELECT t.name, coalesce(n_links, 0) AS n_links, best, nearest FROM t LEFT JOIN l USING (name)""")
 def jaccard_pairs(spark, sf_dir):
-    """Token overlap of distinct part names that share a token."""
-    from catloom.functions.similarity import jaccard
-
-    t = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name")).distinct()
-    words = t.withColumn("w", F.array_sort(F.array_distinct(F.split("name", " ")))).select("name", "w", F.explode("w").alias("k"))
-    pairs = words.toDF("left_name", "x", "k").join(words.toDF("right_name", "y", "k"), "k").filter("left_name < right_name")
-    return pairs.select("left_name", "right_name", "x", "y").distinct().select("left_name", "right_name", jaccard(F.col("x"), F.col("y")).alias("overlap"))
+    """Every distinct part name with the number of names whose words overlap by half or more, and the nearest of them."""
+    names = table(spark, sf_dir, "part").select(F.lower("p_name").alias("name")).distinct()
+    return blocking.overlap_links(names, "name", 0.5)
 
 
 @query(f"""WITH {_SCORED} SELECT CASE WHEN m OR t < 0.35 OR a < 0.25 THEN 'high' WHEN t < 0.55 OR a < 0.4 THEN 'medium' ELSE 'low' END AS severity, count(*) AS n, count(*) FILTER ({_BAD}) AS quarantined

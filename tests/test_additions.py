@@ -205,3 +205,29 @@ def test_similar_pairs_in_slices_leave_no_windows(spark, monkeypatch):
     found = {(r["a"], r["b"]) for r in blocking.similar_pairs(df, df.toDF("b"), "a", "b", 0.85).collect()}
     assert found == {(a, b) for a in texts for b in texts if SequenceMatcher(None, a, b).ratio() >= 0.85}
     assert set(root.glob("windows-*")) == before
+
+
+def test_overlap_links_are_those_of_all_pairs(spark):
+    import random
+
+    from catloom.operators import blocking
+
+    rng = random.Random(2)
+    texts = sorted({" ".join(["the", *(rng.choice("abcdefghijkl") for _ in range(rng.randint(0, 6)))]) for _ in range(150)})
+    words = {t: set(t.split(" ")) for t in texts}
+    overlap = lambda a, b: len(words[a] & words[b]) / len(words[a] | words[b])
+    df = spark.createDataFrame([(t,) for t in [*texts, None, texts[0]]], "t string")
+    for threshold in (0.5, 0.75, 1.0):
+        out = {r["t"]: (r["n_links"], r["best"], r["nearest"]) for r in blocking.overlap_links(df, "t", threshold).collect()}
+        for t in texts:
+            found = sorted((-overlap(t, u), u) for u in texts if u != t and overlap(t, u) >= threshold)
+            assert out[t] == ((len(found), -found[0][0], found[0][1]) if found else (0, None, None))
+
+
+def test_deep_pages_are_read(spark):
+    from catloom.operators import extract
+
+    deep = "<div>" * 3000 + "<h1>Artist - Album</h1>" + "</div>" * 3000 + "</p>" * 3000
+    pages = spark.createDataFrame([("http://h/x", deep), ("http://h/y", None), ("http://h/y", "<h1>B</h1>"), ("http://h/[", "<a href='http://[x'>z</a>")], "url string, body string")
+    assert extract.elements(pages).filter("tag = 'h1'").count() == 2
+    assert extract.page_links(pages).count() == 0
