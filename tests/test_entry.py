@@ -24,9 +24,31 @@ def names():
     return sorted(catalogue.oracle_sql())
 
 
+@pytest.fixture(scope="module")
+def one_view(spark):
+    """The view over orders that most queries start from is made once."""
+    from catloom.plans import table_queries, text_queries
+
+    made, before = {}, table_queries.disc
+
+    def disc(session, sf_dir):
+        if sf_dir not in made:
+            made[sf_dir] = before(session, sf_dir).cache()
+        return made[sf_dir]
+
+    users = [m for m in (table_queries, text_queries) if hasattr(m, "disc")]
+    for module in users:
+        module.disc = disc
+    yield
+    for module in users:
+        module.disc = before
+    for df in made.values():
+        df.unpersist()
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
 @pytest.mark.parametrize("name", names())
-def test_oracle(spark, name):
+def test_oracle(spark, one_view, name):
     import duckdb
 
     from catloom.plans import catalogue
