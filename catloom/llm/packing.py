@@ -43,7 +43,7 @@ END_ID = 2
 SHARD_ITEMS = 8192
 SHARD_DOCS = 4096
 TOKENIZER = "byte_bpe_50k.json"
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 
 # The byte-level pre-tokeniser's pattern restricted to Latin-1, on Latin-1 bytes. Letters, numbers
 # and white space of that range.
