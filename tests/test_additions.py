@@ -231,3 +231,16 @@ def test_deep_pages_are_read(spark):
     pages = spark.createDataFrame([("http://h/x", deep), ("http://h/y", None), ("http://h/y", "<h1>B</h1>"), ("http://h/[", "<a href='http://[x'>z</a>")], "url string, body string")
     assert extract.elements(pages).filter("tag = 'h1'").count() == 2
     assert extract.page_links(pages).count() == 0
+
+
+def test_jaccard_pairs_lists_every_pair_with_a_common_word(spark, tmp_path):
+    from catloom.plans import catalogue
+
+    names = ["a b", "B a", "b c d e f", "f", "g", "the a", "the the", None, "A b"]
+    spark.createDataFrame([(n,) for n in names], "p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    out = [tuple(r) for r in catalogue.queries()["jaccard_pairs"](spark, str(tmp_path)).collect()]
+    texts = sorted({n.lower() for n in names if n})
+    words = {t: set(t.split(" ")) for t in texts}
+    wanted = [(a, b, len(words[a] & words[b]) / len(words[a] | words[b])) for a in texts for b in texts if a < b and words[a] & words[b]]
+    assert sorted(out) == wanted and min(x[2] for x in out) < 0.5
+    _same(*(lambda query, sf, theirs: (query(spark, sf).toPandas(), theirs))(*_oracle("jaccard_pairs")))
