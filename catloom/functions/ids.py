@@ -50,7 +50,7 @@ def signature() -> Column:
 
 def legacy_signature() -> Column:
     """The first five parts of :func:`signature`."""
-    return F.concat_ws("|", F.slice(F.split(signature(), r"\|"), 1, 5))
+    return F.substring_index(signature(), "|", 5)
 
 
 def row_hash(sig: Column) -> Column:
