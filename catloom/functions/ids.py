@@ -42,6 +42,19 @@ def dedupe_key() -> Column:
     return F.struct(*[lower_strip(c).alias(c) for c in schema.KEY])
 
 
+def key_hashes(name: str, *parts: Column) -> dict[str, Column]:
+    """Two long columns that stand for texts as a key of joins and groups: 128 bits, so that different texts share none in practice.
+
+    Longs are sorted by their own bits, and are all that travels; sorting the texts would compare, and compute, them each time.
+    """
+    return {f"{name}_1": F.xxhash64(*parts), f"{name}_2": F.xxhash64(F.lit(1), *parts)}
+
+
+def dedupe_hashes(name: str = "__key") -> dict[str, Column]:
+    """:func:`dedupe_key` as two longs."""
+    return key_hashes(name, *map(lower_strip, schema.KEY))
+
+
 def signature() -> Column:
     """Eight parts; artist, album, song in this order, unlike in the dedupe key."""
     parts = ["artist", "album_name", "song_name", *schema.SIGNATURE[3:]]

@@ -69,7 +69,8 @@ def samples(rows: DataFrame, row_number: str, limit: int = 10) -> DataFrame:
 
 def duplicate_excess(rows: DataFrame) -> DataFrame:
     """Rows beyond the first of each dedupe key (one row)."""
-    return rows.groupBy(ids.dedupe_key().alias("k")).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess"))
+    keys = ids.dedupe_hashes()
+    return rows.select(*[c.alias(k) for k, c in keys.items()]).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("excess"))
 
 
 def completeness(rows: DataFrame) -> DataFrame:

@@ -244,3 +244,11 @@ def test_jaccard_pairs_lists_every_pair_with_a_common_word(spark, tmp_path):
     wanted = [(a, b, len(words[a] & words[b]) / len(words[a] | words[b])) for a in texts for b in texts if a < b and words[a] & words[b]]
     assert sorted(out) == wanted and min(x[2] for x in out) < 0.5
     _same(*(lambda query, sf, theirs: (query(spark, sf).toPandas(), theirs))(*_oracle("jaccard_pairs")))
+
+
+def test_excess_groups_by_hashes(spark):
+    from tests.test_operators import BASE, fact
+
+    rows = fact(spark, [BASE, BASE | {"artist": f" {BASE['artist'].upper()} "}, BASE | {"song_name": "other"}])
+    made = quality.duplicate_excess(rows)
+    assert made.first()["excess"] == 1 and "keys=[__key_1" in made._jdf.queryExecution().executedPlan().toString()
