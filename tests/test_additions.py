@@ -252,3 +252,15 @@ def test_excess_groups_by_hashes(spark):
     rows = fact(spark, [BASE, BASE | {"artist": f" {BASE['artist'].upper()} "}, BASE | {"song_name": "other"}])
     made = quality.duplicate_excess(rows)
     assert made.first()["excess"] == 1 and "keys=[__key_1" in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_gives_the_named_columns_alone(spark):
+    from catloom.operators import dedupe
+    from tests.test_operators import BASE, fact
+
+    rows = fact(spark, [BASE | x for x in ({"notes": "  ", "alternative_names": "b, a"}, {"notes": " n "}, {"notes": "n", "alternative_names": "a, c"}, {"notes": "m"}, {"song_name": "alone", "notes": " x "}, {"song_name": "blank", "notes": " "}, {"song_name": "blank"})])
+    out = dedupe.merge_duplicates(rows, columns=["notes", "alternative_names"])
+    assert out.columns == ["_ord", "alternative_names", "notes", "_copies"]
+    whole = dedupe.merge_duplicates(rows).select(*out.columns)
+    plain = lambda df: sorted(tuple(r)[1:] for r in df.collect())
+    assert plain(out) == plain(whole) == [("", " ", 2), ("", " x ", 1), ("b, a, c", "n | m", 4)]
