@@ -264,3 +264,25 @@ def test_merge_gives_the_named_columns_alone(spark):
     whole = dedupe.merge_duplicates(rows).select(*out.columns)
     plain = lambda df: sorted(tuple(r)[1:] for r in df.collect())
     assert plain(out) == plain(whole) == [("", " ", 2), ("", " x ", 1), ("b, a, c", "n | m", 4)]
+
+
+def _sorts(spark, make):
+    """What the plan of a table sorts by where nothing is broadcast."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = make()._jdf.queryExecution().sparkPlan().toString() + make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    return [line for line in plan.replace("\n", " ").split("+- ") if "SortMergeJoin" in line[:14] or line.startswith("Sort ")]
+
+
+def test_keys_of_the_fact_table_are_sorted_as_hashes(spark):
+    from catloom.operators import lineage
+    from tests.test_operators import BASE, fact
+
+    rows = fact(spark, [BASE | {"track_position": str(k), "artist": f"A{k % 2}"} for k in range(1, 5)])
+    for make, key in ((lambda: lineage.normalised(rows), "__album_1"), (lambda: lineage.lineage_filled(rows), "__of_1"), (lambda: catalog.tracks(rows), "__of_1")):
+        sorts = _sorts(spark, make)
+        assert sorts and all(key in x for x in sorts if "SortMergeJoin" in x)
