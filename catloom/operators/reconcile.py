@@ -61,12 +61,31 @@ def reconcile(rows: DataFrame, entries: DataFrame, row_number: Column, order_col
     return dealt.each(lambda part, known: _reconciled(part, known, order_col), log)
 
 
+def _hashes(sig: Column) -> tuple[dict[str, Column], dict[str, Column]]:
+    """The legacy signature of a full one, and that, as hashes."""
+    return ids.key_hashes("__legacy", F.substring_index(sig, "|", 5)), ids.key_hashes("__full", sig)
+
+
+def _by_legacy(entries: DataFrame, order_col: str) -> DataFrame:
+    """By the hashes of the legacy signature: ``__short``, its best entry, and ``__fulls``, the best of each full signature.
+
+    A full signature holds its legacy one and is never one itself, so the entries move once, and a row meets both at one place. Of
+    one legacy signature there are as many full ones as row types, categories and editions.
+    """
+    short, full = _hashes(F.col("__sig"))
+    prev, longest = F.struct(*CARRIED), F.struct((-F.size(history(F.col("search_history")))).alias("n"), F.col(order_col).alias("o"))
+    keyed = entries.withColumn("__sig", ids.signature()).select(*[c.alias(k) for k, c in (short | full).items()], prev.alias("prev"), longest.alias("rank"))
+    best = keyed.repartition(*short).groupBy(*short, *full).agg(F.min_by(F.struct("prev", "rank"), "rank").alias("x"))
+    fulls = F.collect_list(F.struct(*full, F.col("x.prev").alias("prev")))
+    return best.groupBy(*short).agg(F.min_by("x.prev", "x.rank").alias("__short"), fulls.alias("__fulls"))
+
+
 def _reconciled(rows: DataFrame, entries: DataFrame, order_col: str) -> DataFrame:
-    index = indexed(entries, order_col)
-    keyed = rows.withColumn("__sig", ids.signature()).withColumn("__legacy", ids.legacy_signature())
-    full = index.select(F.col("sig").alias("__sig"), F.col("prev").alias("__full"))
-    legacy = index.select(F.col("sig").alias("__legacy"), F.col("prev").alias("__short"))
-    joined = keyed.join(full, "__sig", "left").join(legacy, "__legacy", "left").withColumn("prev", F.coalesce("__full", "__short"))
+    keyed = rows.withColumn("__sig", ids.signature())
+    short, full = _hashes(F.col("__sig"))
+    joined = keyed.withColumns(short | full).join(_by_legacy(entries, order_col), list(short), "left")
+    same = F.filter("__fulls", lambda x: (x["__full_1"] == F.col("__full_1")) & (x["__full_2"] == F.col("__full_2")))
+    joined = joined.withColumn("prev", F.coalesce(F.get(same, F.lit(0))["prev"], "__short"))
     spotify = values.link_status("spotify_url", F.col("prev.spotify_status"))
     return joined.select(
         ids.row_hash(F.col("__sig")).alias("row_hash"), "row_number", "artist", "album_name", "song_name", *schema.SIGNATURE[3:],

@@ -73,7 +73,7 @@ class Sliced:
 
     SLICES = 16
     #: Rows below which one part does not pay.
-    ROWS = 1 << 21
+    ROWS = 1 << 24
 
     def __init__(self, spark: SparkSession, path: str, schema) -> None:
         self.spark, self.path, self.schema = spark, path, schema

@@ -286,3 +286,18 @@ def test_keys_of_the_fact_table_are_sorted_as_hashes(spark):
     for make, key in ((lambda: lineage.normalised(rows), "__album_1"), (lambda: lineage.lineage_filled(rows), "__of_1"), (lambda: catalog.tracks(rows), "__of_1")):
         sorts = _sorts(spark, make)
         assert sorts and all(key in x for x in sorts if "SortMergeJoin" in x)
+
+
+def test_entries_move_once_and_both_signatures_find_them(spark):
+    from catloom.operators import reconcile
+    from tests.test_operators import BASE, fact
+
+    event = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in reconcile.EVENT])
+    rows = fact(spark, [BASE | {"row_type": t} for t in ("track", "album", "single")] + [BASE | {"song_name": "none"}])
+    entries = fact(spark, [BASE | {"row_type": "track", "label": "1"}, BASE | {"row_type": "album", "label": "2"}, BASE | {"row_type": "odd", "label": "2"}, BASE | {"row_type": "track", "label": "0"}])
+    entries = entries.withColumns({c: F.lit(None).cast("string") for c in ("spotify_status", "youtube_status", "confidence_level")}).withColumns({
+        "last_search_date": F.concat_ws("-", "row_type", "label"), "search_attempts": F.lit(1).cast("long"), "search_history": F.array_repeat(event, F.col("label").cast("int"))})
+    assert len(reconcile._by_legacy(entries, "_ord").collect()) == 1
+    out = {(r["song_name"], r["row_type"]): (r["last_search_date"], len(r["search_history"])) for r in reconcile.reconcile(rows, entries, F.lit(0)).collect()}
+    song = BASE["song_name"]
+    assert out == {(song, "track"): ("track-1", 1), (song, "album"): ("album-2", 2), (song, "single"): ("album-2", 2), ("none", "track"): (None, 0)}
