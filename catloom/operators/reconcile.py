@@ -56,8 +56,13 @@ def reconcile(rows: DataFrame, entries: DataFrame, row_number: Column, order_col
     """
     place = F.split_part(lower_strip("artist"), F.lit("|"), F.lit(1))
     named = ["artist", "album_name", "song_name", *schema.SIGNATURE[3:]]
-    dealt = Sliced.of(rows.select(row_number.alias("row_number"), *named, "spotify_url", "youtube_url"), place)
+    read = rows.select(row_number.alias("row_number"), *named, "spotify_url", "youtube_url")
     log = Sliced.of(entries.select(order_col, *named, *CARRIED), place)
+    if log.read().isEmpty():  # nothing to meet, so the rows stay where they are
+        log.remove()
+        prev = F.lit(None).cast(entries.select(F.struct(*CARRIED).alias("prev")).schema["prev"].dataType)
+        return _entries(read.withColumns({"__sig": ids.signature(), "prev": prev}))
+    dealt = Sliced.of(read, place)
     return dealt.each(lambda part, known: _reconciled(part, known, order_col), log)
 
 
@@ -85,7 +90,11 @@ def _reconciled(rows: DataFrame, entries: DataFrame, order_col: str) -> DataFram
     short, full = _hashes(F.col("__sig"))
     joined = keyed.withColumns(short | full).join(_by_legacy(entries, order_col), list(short), "left")
     same = F.filter("__fulls", lambda x: (x["__full_1"] == F.col("__full_1")) & (x["__full_2"] == F.col("__full_2")))
-    joined = joined.withColumn("prev", F.coalesce(F.get(same, F.lit(0))["prev"], "__short"))
+    return _entries(joined.withColumn("prev", F.coalesce(F.get(same, F.lit(0))["prev"], "__short")))
+
+
+def _entries(joined: DataFrame) -> DataFrame:
+    """The new entries of rows with ``__sig`` and ``prev``, the entry before (null: none)."""
     spotify = values.link_status("spotify_url", F.col("prev.spotify_status"))
     return joined.select(
         ids.row_hash(F.col("__sig")).alias("row_hash"), "row_number", "artist", "album_name", "song_name", *schema.SIGNATURE[3:],
