@@ -140,6 +140,15 @@ def test_canonicalise_in_parts(spark, monkeypatch):
     assert [sorted(sum(x, [])) for x in seen] == [list(range(16))] * 3 and all(len(x) > 2 for x in seen)
 
 
+def test_sources_are_met_in_parts(spark, monkeypatch):
+    seen = _split(monkeypatch)
+    for name in ("lineage_fill",):
+        query, sf, theirs = _oracle(name)
+        seen.clear()
+        _same(query(spark, sf).toPandas(), theirs)
+        assert len(seen) == 1 and len(seen[0]) > 2 and sorted(sum(seen[0], [])) == list(range(16))
+
+
 def test_reconcile_log_in_parts(spark, monkeypatch):
     query, sf, theirs = _oracle("reconcile_log")
     seen = _split(monkeypatch)
