@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catloom.functions import ids, text
 from catloom.functions.text import clean_title, lower_strip, strip
 from catloom.operators.dedupe import ORDER, keep_first
-from catloom.operators.lineage import identified, with_sources
+from catloom.operators.lineage import READ, identified, with_sources
 
 
 def artists(rows: DataFrame, order_col: str = ORDER) -> DataFrame:
@@ -35,7 +35,8 @@ def works(rows: DataFrame, order_col: str = ORDER) -> DataFrame:
 
 def tracks(rows: DataFrame, order_col: str = ORDER) -> DataFrame:
     """One row per fact row."""
-    sourced = with_sources(identified(rows.withColumn("__duration", F.col("duration_seconds"))), order_col)
+    read = [*READ, "track_position", "spotify_url", "youtube_url"]  # no other column is dealt
+    sourced = with_sources(identified(rows.select(order_col, *read, F.col("duration_seconds").alias("__duration"))), order_col)
     return sourced.select(
         ids.track_id().alias("track_id"), ids.release_id().alias("release_id"), "work_id", "version_id", ids.artist_id().alias("artist_id"),
         strip("artist").alias("artist_name"), clean_title("song_name").alias("song_name"), strip("album_name").alias("album_name"),

@@ -142,7 +142,7 @@ def test_canonicalise_in_parts(spark, monkeypatch):
 
 def test_sources_are_met_in_parts(spark, monkeypatch):
     seen = _split(monkeypatch)
-    for name in ("lineage_fill",):
+    for name in ("lineage_fill", "dim_tracks"):
         query, sf, theirs = _oracle(name)
         seen.clear()
         _same(query(spark, sf).toPandas(), theirs)
