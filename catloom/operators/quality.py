@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catloom import schema
 from catloom.functions import ids, values
 from catloom.functions.text import comma_list, strip, year_text
+from catloom.runtime import cut, short_shuffles
 
 POSITION = r"^\d+/\d+$"
 
@@ -112,7 +113,14 @@ def several_originals(rows: DataFrame, row_number: str) -> DataFrame:
 def orphan_count(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Child rows whose key no parent has; a null key has none (one row)."""
     keys = parent.select(F.col(parent_key or key).alias("__k")).distinct()
-    return child.join(keys, F.col(key) == F.col("__k"), "left_anti").agg(F.count(F.lit(1)).alias("orphans"))
+    counted = child.groupBy(F.col(key).alias("__c")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(keys, F.col("__c") == F.col("__k"), "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("orphans"))
+
+
+def _alone(counts: DataFrame) -> DataFrame:
+    """Counts made at once, whose shuffle files go before the next ones are made."""
+    with short_shuffles(counts.sparkSession):
+        return cut(counts)
 
 
 def log_alignment(rows: DataFrame, entries: DataFrame) -> DataFrame:
@@ -197,10 +205,10 @@ def gates(
     """
     named = rules()
     missing, invalid = named["track_position_missing"], named["track_position_invalid"]
-    one = rows.agg(
+    one = _alone(rows.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(missing | invalid).alias("bad_position"), F.count_if(named["track_position_bare"]).alias("bare_position"),
         F.count_if(named["position_without_track"]).alias("stray_position"), F.count_if(named["release_date_format"]).alias("bad_date"),
-    ).join(duplicate_excess(rows))
+    )).join(_alone(duplicate_excess(rows)))
     issues = [_message("Duplicate rows detected", F.col("excess")), _message("Invalid track_position rows", F.col("bad_position")), _message("Invalid release_date rows", F.col("bad_date"))]
     if header is not None and header != schema.FACT:
         issues.insert(0, F.lit(f"Schema header mismatch in {table_name}"))
@@ -215,7 +223,7 @@ def gates(
         warnings.append(F.lit("Catalog files not found -- skipping FK checks"))
     else:
         for name, key in (("artists", "artist_id"), ("releases", "release_id"), ("works", "work_id")):
-            one = one.join(orphan_count(catalog["tracks"], key, catalog[name]).withColumnRenamed("orphans", f"no_{key}"))
+            one = one.join(_alone(orphan_count(catalog["tracks"], key, catalog[name])).withColumnRenamed("orphans", f"no_{key}"))
             issues.append(_message(f"Catalog track rows missing {key[:-3]} FK", F.col(f"no_{key}")))
         if personnel is not None:
             one = one.join(orphan_count(personnel, "release_id", catalog["releases"]).withColumnRenamed("orphans", "no_personnel_release"))

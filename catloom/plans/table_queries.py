@@ -304,7 +304,7 @@ SELECT CASE WHEN len(issues) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, issues,
 def quality_status(spark, sf_dir):
     """All gates over the fact table, its star schema and duplicate clusters planted in the documents."""
     rows, docs = disc(spark, sf_dir), table(spark, sf_dir, "documents")
-    tables = {"artists": catalog.artists(rows), "releases": catalog.releases(rows), "works": catalog.works(rows), "tracks": catalog.tracks(rows)}
+    tables = catalog.keys(rows)
     clusters = docs.groupBy("source", F.expr("doc_id div 50").alias("part")).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.collect_list("doc_id").alias("members"))
     clusters = clusters.select(
         F.concat_ws(":", F.coalesce("source", F.lit("none")), "part").alias("cluster_id"), F.when(F.col("last") % 3 > 0, "high").otherwise("low").alias("cluster_confidence"),

@@ -149,6 +149,21 @@ def test_sources_are_met_in_parts(spark, monkeypatch):
         assert len(seen) == 1 and len(seen[0]) > 2 and sorted(sum(seen[0], [])) == list(range(16))
 
 
+def test_gates_read_keys_in_parts(spark, monkeypatch):
+    from catloom.operators import catalog
+    from catloom.plans.disc import disc
+
+    query, sf, theirs = _oracle("quality_status")
+    seen = _split(monkeypatch)
+    mine = query(spark, sf).toPandas()
+    assert [sorted(map(str, mine.iloc[0][c])) if c in ("issues", "warnings") else mine.iloc[0][c] for c in sorted(theirs.columns)] == [
+        sorted(map(str, theirs.iloc[0][c])) if c in ("issues", "warnings") else theirs.iloc[0][c] for c in sorted(theirs.columns)]
+    assert len(seen) == 1 and len(seen[0]) > 2
+    rows = disc(spark, sf)
+    ids = lambda df: sorted(map(tuple, df.select("work_id").collect()))
+    assert ids(catalog.keys(rows)["works"]) == ids(catalog.works(rows))
+
+
 def test_reconcile_log_in_parts(spark, monkeypatch):
     query, sf, theirs = _oracle("reconcile_log")
     seen = _split(monkeypatch)
